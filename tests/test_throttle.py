@@ -1,0 +1,108 @@
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import throttle as batch
+from tidemark.operators.throttle import throttle
+from tidemark.streaming.sinks import append_sink
+from tidemark.streaming.throttle import throttle_stream
+
+SCHEMA = "k string, ms bigint, wait bigint, id bigint"
+
+
+def one_by_one(rows):
+    last, emitted = {}, []
+    for k, ms, wait, row_id in sorted(rows, key=lambda r: (r[0], r[1], r[3])):
+        if k not in last or ms - last[k] > wait:
+            last[k] = ms
+            emitted.append(row_id)
+    return sorted(emitted)
+
+
+def some_rows(seed, count, span, waits):
+    rng = random.Random(seed)
+    keys = ["hot"] * 12 + [f"k{i}" for i in range(8)]
+    return [(rng.choice(keys), rng.randrange(-span // 9, span), rng.choice(waits), i) for i in range(count)]
+
+
+@pytest.mark.parametrize(
+    "count, span, waits, segment_ms",
+    [
+        (2000, 100_000, [60], 500),  # many hops per segment
+        (2000, 100_000, [60, 10, 250], 500),  # waits differ from row to row
+        (1500, 3_000, [60, 10, 2_000], 7),  # waits longer than a segment
+        (1500, 900, [0, 3], 5),  # many rows of one millisecond
+        (600, 2_000_000_000, [600_000], 3_600_000),  # as shipped, with gaps
+    ],
+)
+def test_equals_a_walk_row_by_row(spark, count, span, waits, segment_ms):
+    rows = some_rows(count + span, count, span, waits)
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = throttle(df, "k", "ms", F.col("wait"), "id", segment_ms=segment_ms)
+    assert kept.columns == df.columns
+    assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
+
+
+def test_groups_cut_by_arrow_batches(spark):
+    rows = some_rows(5, 3000, 20_000, [40, 9])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        kept = throttle(spark.createDataFrame(rows, SCHEMA), "k", "ms", F.col("wait"), "id", segment_ms=400)
+        assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_rows_without_time_are_left_out_and_null_keys_fail(spark):
+    df = spark.createDataFrame([("a", None, 1, 1), ("a", 5, 1, 2)], SCHEMA)
+    assert [r.id for r in throttle(df, "k", "ms", 10, "id").collect()] == [2]
+    with pytest.raises(Exception, match="null key"):
+        throttle(spark.createDataFrame([(None, 5, 1, 2)], SCHEMA), "k", "ms", 10, "id").collect()
+
+
+def test_plan_combines_rows_first_and_shares_the_shuffle(spark):
+    df = spark.createDataFrame(some_rows(1, 500, 50_000, [60]), SCHEMA)
+    kept = throttle(df, "k", "ms", 60, "id")
+    kept.collect()
+    final = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "partial_min" in final
+    assert final.count("ReusedExchange") >= batch.LEVELS
+    assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") <= batch.LEVELS + 2
+
+
+def stream_result(spark, tmp_path, batches):
+    source = str(tmp_path / "in")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    kept = throttle_stream(stream, "k", "ms", F.col("wait"), "id")
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        sink = append_sink(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint"), interval=None)
+        sink.start().awaitTermination()
+    return spark.read.parquet(str(tmp_path / "out"))
+
+
+def test_stream_carries_the_last_emission_over_restarts(spark, tmp_path):
+    rows = sorted(some_rows(3, 900, 30_000, [60, 10, 250]), key=lambda r: (r[1], r[3]))
+    (tmp_path / "in").mkdir()
+    kept = stream_result(spark, tmp_path, [rows[:300], rows[300:600], rows[600:]])
+    assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
+    assert kept.columns == ["key", "k", "ms", "wait", "id"]
+
+
+def test_stream_with_expiring_state(spark, tmp_path):
+    """State with a time limit keeps a query busy, so it needs a trigger that runs on."""
+    source = tmp_path / "in"
+    spark.createDataFrame([("a", 0, 10, 1), ("a", 5, 10, 2), ("a", 11, 10, 3)], SCHEMA).write.parquet(str(source))
+    stream = spark.readStream.schema(SCHEMA).parquet(str(source))
+    kept = throttle_stream(stream, "k", "ms", F.col("wait"), "id", ttl_ms=3_600_000)
+    query = append_sink(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint"), interval="1 second").start()
+    deadline = time.monotonic() + 60
+    try:
+        while not any(p.numInputRows for p in query.recentProgress):
+            assert time.monotonic() < deadline
+            assert query.awaitTermination(1) is False
+    finally:
+        query.stop()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]

@@ -80,28 +80,34 @@ def throttle(
         .sortWithinPartitions("key", "segment", "ms", "id")
         .mapInPandas(partial(_emissions, segment_ms=segment_ms), "id bigint")
     )
-    return df.join(emitted.withColumnRenamed("id", row_id), row_id, "left_semi")
+    return df.join(emitted.withColumnRenamed("id", row_id), row_id, "left_semi").select(*df.columns)
 
 
 def _entries(steps: DataFrame, segment_ms: int) -> DataFrame:
     """The last emission before each segment."""
-    levels = [steps]
+    levels = [_under_parents(steps)]
     for level in range(1, LEVELS + 1):
-        compose = _composer(segment_ms * FAN_IN**level)
-        levels.append(_with_parent(levels[-1]).groupBy("key", "parent").applyInPandas(compose, _STEPS))
-    entries = levels.pop().groupBy("key").applyInPandas(_walk_key, _ENTRIES)
+        compose = partial(_compose_groups, span_ms=segment_ms * FAN_IN**level)
+        parents = levels[-1].sortWithinPartitions("key", "parent", "segment").mapInPandas(compose, _STEPS)
+        levels.append(_under_parents(parents) if level < LEVELS else parents)
+    top = levels.pop().withColumns({"parent": F.lit(0), "last": F.lit(NEVER)}).repartition("key")
+    entries = _walked(top)
     for children in reversed(levels):
-        entries = (
-            _with_parent(children)
-            .groupBy("key", "parent")
-            .cogroup(entries.groupBy("key", "segment"))
-            .applyInPandas(_walk_children, _ENTRIES)
-        )
+        entries = _walked(children.join(entries.withColumnRenamed("segment", "parent"), ["key", "parent"]))
     return entries
 
 
-def _with_parent(steps: DataFrame) -> DataFrame:
-    return steps.withColumn("parent", F.floor(F.col("segment") / FAN_IN))
+def _under_parents(steps: DataFrame) -> DataFrame:
+    """Segments that compose into one, side by side.
+
+    The explicit shuffle keeps a group in one task, also through the joins above, where entries are unique.
+    """
+    numbered = steps.withColumn("parent", F.floor(F.col("segment") / FAN_IN))
+    return numbered.filter(F.col("key").isNotNull() & F.col("parent").isNotNull()).repartition("key", "parent")
+
+
+def _walked(children: DataFrame) -> DataFrame:
+    return children.sortWithinPartitions("key", "parent", "segment").mapInPandas(_walk_groups, _ENTRIES)
 
 
 def first_after(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +124,7 @@ class _Segments:
     """Links between the rows of many whole (key, segment) groups, sorted by group and time."""
 
     def __init__(self, frame: pd.DataFrame, segment_ms: int):
-        self.starts = np.flatnonzero(_group_starts(frame))
+        self.starts = np.flatnonzero(_group_starts(frame, "segment"))
         self.sizes = np.diff(self.starts, append=len(frame))
         self.group = np.repeat(np.arange(len(self.starts)), self.sizes)
         self.ms = frame["ms"].to_numpy()
@@ -150,21 +156,22 @@ class _Segments:
             end = further
 
 
-def _group_starts(frame: pd.DataFrame) -> np.ndarray:
-    key, segment = frame["key"].to_numpy(), frame["segment"].to_numpy()
+def _group_starts(frame: pd.DataFrame, part: str) -> np.ndarray:
+    """Where a new (key, part) begins."""
+    key, number = frame["key"].to_numpy(), frame[part].to_numpy()
     starts = np.ones(len(frame), dtype=bool)
-    starts[1:] = (segment[1:] != segment[:-1]) | (key[1:] != key[:-1])
+    starts[1:] = (number[1:] != number[:-1]) | (key[1:] != key[:-1])
     return starts
 
 
-def _whole_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cut sorted batches anew so that none ends within a group."""
+def _whole_groups(frames: Iterator[pd.DataFrame], part: str) -> Iterator[pd.DataFrame]:
+    """Cut sorted batches anew so that none ends within a (key, part)."""
     held: list[pd.DataFrame] = []
     for frame in frames:
         if frame.empty:
             continue
-        cut = int(np.flatnonzero(_group_starts(frame))[-1])
-        goes_on = bool(held) and all(held[-1][c].iloc[-1] == frame[c].iloc[0] for c in ("key", "segment"))
+        cut = int(np.flatnonzero(_group_starts(frame, part))[-1])
+        goes_on = bool(held) and all(held[-1][c].iloc[-1] == frame[c].iloc[0] for c in ("key", part))
         if cut == 0 and (goes_on or not held):
             held.append(frame)
         else:
@@ -174,20 +181,16 @@ def _whole_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _reachable(edges: np.ndarray, begin: int) -> int:
-    """How many edges matter if the last emission came before ``begin``."""
-    return int(np.searchsorted(edges, begin, side="left")) + 1
-
-
 def _shorten(edges: np.ndarray, exits: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
-    count = _reachable(edges, begin)
+    """Leave out edges that no emission before ``begin`` can be between, and those without a turn."""
+    count = int(np.searchsorted(edges, begin, side="left")) + 1
     edges, exits = edges[:count], exits[:count]
     turns = np.append(exits[1:] != exits[:-1], True)
     return edges[turns], exits[turns]
 
 
 def _segment_steps(frames: Iterator[pd.DataFrame], segment_ms: int) -> Iterator[pd.DataFrame]:
-    for frame in _whole_groups(frames):
+    for frame in _whole_groups(frames, "segment"):
         rows = _Segments(frame, segment_ms)
         exits = rows.ms[rows.final_row()[rows.earliest]]
         shift = np.arange(len(rows.starts)) * rows.stretch + rows.reach_back - rows.begin
@@ -211,47 +214,51 @@ def _apply(edges: np.ndarray, exits: np.ndarray, last: np.ndarray) -> np.ndarray
     return np.where(at < len(edges), exits[np.minimum(at, len(edges) - 1)], last)
 
 
-def _composer(span_ms: int):
-    def compose(children: pd.DataFrame) -> pd.DataFrame:
-        return _compose(children, span_ms)
-
-    return compose
+def _compose_groups(frames: Iterator[pd.DataFrame], span_ms: int) -> Iterator[pd.DataFrame]:
+    """One step function for the consecutive ones under a parent."""
+    for frame in _whole_groups(frames, "parent"):
+        starts = np.flatnonzero(_group_starts(frame, "parent"))
+        firsts = frame.iloc[starts]
+        steps = list(zip(frame["edges"], frame["exits"]))
+        composed = [
+            _shorten(*_compose(steps[start:end]), parent * span_ms)
+            for start, end, parent in zip(starts, [*starts[1:], len(frame)], firsts["parent"])
+        ]
+        yield pd.DataFrame(
+            {
+                "key": firsts["key"].to_numpy(),
+                "segment": firsts["parent"].to_numpy(),
+                "edges": [edges for edges, _ in composed],
+                "exits": [exits for _, exits in composed],
+            }
+        )
 
 
-def _compose(children: pd.DataFrame, span_ms: int) -> pd.DataFrame:
-    """One step function for consecutive ones."""
-    children = children.sort_values("segment")
-    parent = int(children["parent"].iloc[0])
-    steps = list(zip(children["edges"], children["exits"]))
+def _compose(steps: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     edges, exits = steps[-1]
     for first_edges, first_exits in reversed(steps[:-1]):
         later = edges > first_edges[-1]
         exits = np.concatenate([_apply(edges, exits, first_exits), exits[later]])
         edges = np.concatenate([first_edges, edges[later]])
-    edges, exits = _shorten(edges, exits, parent * span_ms)
-    return pd.DataFrame({"key": children["key"].iloc[:1], "segment": parent, "edges": [edges], "exits": [exits]})
-
-
-def _walk(steps: pd.DataFrame, last: int) -> pd.DataFrame:
-    """The last emission before each of some consecutive segments."""
-    steps = steps.sort_values("segment")
-    before = []
-    for edges, exits in zip(steps["edges"], steps["exits"]):
-        before.append(last)
-        last = int(_apply(edges, exits, np.array(last)))
-    return pd.DataFrame({"key": steps["key"], "segment": steps["segment"], "last": np.array(before, dtype=np.int64)})
-
-
-def _walk_key(steps: pd.DataFrame) -> pd.DataFrame:
-    return _walk(steps, NEVER)
+    return edges, exits
 
 
-def _walk_children(steps: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-    return _walk(steps, int(entry["last"].iloc[0]))
+def _walk_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The last emission before each of the segments under a parent, given that before the parent."""
+    for frame in _whole_groups(frames, "parent"):
+        starts = _group_starts(frame, "parent")
+        before = np.empty(len(frame), dtype=np.int64)
+        last = NEVER
+        for i, (edges, exits, entry) in enumerate(zip(frame["edges"], frame["exits"], frame["last"])):
+            last = entry if starts[i] else last
+            before[i] = last
+            at = np.searchsorted(edges, last, side="right")
+            last = exits[at] if at < len(edges) else last
+        yield pd.DataFrame({"key": frame["key"], "segment": frame["segment"], "last": before})
 
 
 def _emissions(frames: Iterator[pd.DataFrame], segment_ms: int) -> Iterator[pd.DataFrame]:
-    for frame in _whole_groups(frames):
+    for frame in _whole_groups(frames, "segment"):
         rows = _Segments(frame, segment_ms)
         ids = frame["id"].to_numpy()
         last = frame["last"].to_numpy()[rows.starts]

@@ -65,15 +65,13 @@ def sample_stream(records: DataFrame, key: str | Column, time_ms: Column, now_ms
     return throttle_stream(records, key, now_ms, sampling_waits(time_ms, now_ms), row_id)
 
 
-def sampled_lines(lines: DataFrame, key: str | Column) -> DataFrame:
-    """J2 from text: parse strictly, stamp, sample, write as JSON text."""
-    records = stamped(lines, strict=True).select(
-        F.col(key).alias("source") if isinstance(key, str) else key.alias("source"),
-        "stamp_ms",
-        F.to_json("fields").alias("value"),
-        F.xxhash64(F.to_json("fields")).alias("row_id"),
+def sampled_lines(lines: DataFrame, source: str, row_id: str) -> DataFrame:
+    """J2 from text: parse strictly, stamp with the clock, sample per ``source``, write as JSON text."""
+    records = stamped(lines.select("value", source, row_id), strict=True).select(
+        source, row_id, "stamp_ms", F.to_json("fields").alias("value")
     )
-    return sample_stream(records, "source", F.col("stamp_ms"), F.col("stamp_ms"), "row_id")
+    now = F.col("stamp_ms")
+    return sample_stream(records, source, now, now, row_id)
 
 
 def salted_counts(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -42,15 +43,20 @@ def build_session(app_name: str = "tidemark", master: str | None = None, conf: d
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder path for checkpoints and written tables.
-
-    The cluster names the shared parent in ``spark.checkpoint.dir``. Only a local session may go
-    without it; on a cluster a machine-local folder would be lost with its executor.
-    """
-    parent = spark.conf.get("spark.checkpoint.dir", None)
-    if not parent:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        parent = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", parent)
+    """A new folder path for checkpoints and written tables, in the folder that the cluster names."""
+    parent = shared_parent(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master)
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def shared_parent(named: str | None, master: str) -> str:
+    """Only a local session may go without a named folder: a machine-local one is lost with its executor."""
+    if named:
+        return named
+    if not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_parent()
+
+
+@functools.cache
+def _local_parent() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")

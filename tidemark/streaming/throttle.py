@@ -74,7 +74,8 @@ def throttle_stream(
     is compared with what was emitted so far. All rows of a key in a micro-batch are handled by one
     task, which holds one row per millisecond: choose keys that spread the load (such as
     the source partition) and bound the micro-batch. For whole tables use ``operators.throttle``.
-    ``ttl_ms`` forgets keys that were silent for so long by the clock; choose it above the wait.
+    ``ttl_ms`` forgets keys that were silent for so long by the clock; choose it above the wait, and
+    a trigger that runs on: Spark keeps making batches to watch the clock, so available-now never ends.
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
     kept = df.select(
