@@ -39,8 +39,16 @@ def with_json_object(df: DataFrame, value: str = "value", out: str = "obj") -> D
 
 def strict_object(obj: str = "obj", value: str = "value") -> Column:
     """The object itself; a bad text fails the query."""
-    message = F.concat(F.lit("not a JSON object: "), F.coalesce(F.col(value), F.lit("null")))
-    return F.when(F.col(obj).isNotNull(), F.col(obj)).otherwise(F.raise_error(message).cast("variant"))
+    return F.when(F.col(obj).isNotNull(), F.col(obj)).otherwise(_fail(value).cast("variant"))
+
+
+def is_checked_object(obj: str = "obj", value: str = "value") -> Column:
+    """P1 as a condition: true, or the query fails."""
+    return F.when(F.col(obj).isNotNull(), True).otherwise(_fail(value).cast("boolean"))
+
+
+def _fail(value: str) -> Column:
+    return F.raise_error(F.concat(F.lit("not a JSON object: "), F.coalesce(F.col(value), F.lit("null"))))
 
 
 def json_or_line(obj: str = "obj", value: str = "value") -> Column:

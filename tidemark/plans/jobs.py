@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import json as js
 from tidemark.functions.keys import hashed_salt_key, salt_key
 from tidemark.functions.offset_lines import parse_offset_lines
-from tidemark.functions.timing import DEVICE_DELAY, STAMPED_DELAY, event_time, now_millis, with_partition_tag
+from tidemark.functions.timing import DEVICE_DELAY, STAMPED_DELAY, event_time, now_millis
 from tidemark.operators.filters import is_ahead
 from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, report_lines, topic_stats
 from tidemark.operators.throttle import throttle
@@ -85,13 +85,15 @@ def salted_counts(
     """J3 (strict), J4 (not strict), J5 (``width="3 seconds"``): count records per salt key and window.
 
     The result has the JSON text ``{"key", "count"}`` in ``value`` next to typed columns. The salt comes
-    from ``row_id`` if there is one, else from the text itself.
+    from ``row_id`` if there is one, else from the text itself. A count does not look into the records:
+    strict lines are only checked, and the others, all of which count, are not even parsed.
     """
     salt = salt_key(row_id) if row_id else hashed_salt_key(F.col("value"))
-    keyed = lines.withColumn("salt", salt)
-    records = with_partition_tag(stamped(keyed, strict, now_ms)).withWatermark("event_time", delay)
-    # A record counts only once it has been parsed.
-    return window_counts(records.filter(F.col("fields").isNotNull()), "event_time", "salt", width)
+    stamp = now_millis() if now_ms is None else now_ms
+    records = lines.withColumns({"salt": salt, "event_time": event_time(stamp)}).withWatermark("event_time", delay)
+    if strict:
+        records = js.with_json_object(records).filter(js.is_checked_object())
+    return window_counts(records, "event_time", "salt", width)
 
 
 def normalised(lines: DataFrame) -> DataFrame:
