@@ -378,7 +378,8 @@ def offset_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_type") == "signup", F.replace(F.replace(line, F.lit("topic:"), F.lit(" TOPIC:")), F.lit("offsets"), F.lit("OFFSETS")))
         .otherwise(line)
     )
-    return events(spark, folder).select(F.col("event_id").alias("line_no"), shaped.alias("value"))
+    text = F.concat(shaped, F.lit("\n"))
+    return events(spark, folder).select(F.col("event_id").alias("line_no"), F.explode(F.split(text, "\n")).alias("value"))
 
 
 def offset_ranges(spark: SparkSession, folder: str) -> DataFrame:
@@ -397,10 +398,10 @@ def offset_parse(spark, folder):
 )
 def offset_parse_text_block(spark, folder):
     """Blocks of text: the line, an empty line, the line again."""
-    lines = offset_lines(spark, folder)
-    block = lines.select(F.col("line_no").alias("block"), F.concat("value", F.lit("\n\n"), "value").alias("text"))
-    split = block.select("block", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
-    return parse_offset_lines(split.select("block", F.col("pos").cast("bigint").alias("line_no"), "value"))
+    lines = offset_lines(spark, folder).filter(F.col("value") != "")
+    text = F.concat("value", F.lit("\n\n"), "value")
+    blocks = lines.select(F.col("line_no").alias("block"), text.alias("text"))
+    return parse_offset_lines(split_lines(blocks, "text", "block"))
 
 
 STATS_SQL = f"""

@@ -16,8 +16,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter(F.col("value") != "")
 
 
-def split_lines(df: DataFrame, text: str) -> DataFrame:
-    """The lines of a multi-line text column as ``line_no, value``."""
-    return df.select(F.posexplode(F.split(text, "\n")).alias("pos", "value")).select(
-        F.col("pos").cast("bigint").alias("line_no"), "value"
+def split_lines(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """The lines of a multi-line text column as ``line_no, value``, next to the columns in ``keep``."""
+    return df.select(*keep, F.posexplode(F.split(text, "\n")).alias("pos", "value")).select(
+        *keep, F.col("pos").cast("bigint").alias("line_no"), "value"
     )

@@ -20,6 +20,7 @@ def file_stream(spark: SparkSession, path: str, schema: str | StructType, files_
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # As a pattern, the path may also be a single file.
+    path = path.rstrip("/")
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
