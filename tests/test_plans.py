@@ -44,7 +44,7 @@ def test_totals_share_no_hot_window(spark):
 
 def test_lowest_deltas_cut_rows_before_the_topic_shuffle(spark):
     ranges = spark.range(100).selectExpr(
-        "id line_no", "'t' topic", "cast(id as int) partition", "id from_offset", "2 * id until_offset", "id delta"
+        "id line_no", "concat('t', id % 2) topic", "cast(id as int) partition", "id from_offset", "2 * id until_offset", "id delta"
     )
     text = plan(lowest_deltas(ranges))
     assert "row_number(), 4, Partial" in text
