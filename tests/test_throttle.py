@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import throttle as batch
 from tidemark.operators.throttle import throttle
 from tidemark.streaming.sinks import append_sink
-from tidemark.streaming.throttle import throttle_stream
+from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
 SCHEMA = "k string, ms bigint, wait bigint, id bigint"
 
@@ -72,25 +72,46 @@ def test_plan_combines_rows_first_and_shares_the_shuffle(spark):
     assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") <= batch.LEVELS + 2
 
 
-def stream_result(spark, tmp_path, batches):
-    source = str(tmp_path / "in")
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
-    kept = throttle_stream(stream, "k", "ms", F.col("wait"), "id")
+def in_batches(spark, tmp_path, batches, run):
+    """One run per batch, all from one checkpoint."""
+    source = tmp_path / "in"
+    source.mkdir()
+    stream = spark.readStream.schema(SCHEMA).parquet(str(source))
     for rows in batches:
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
-        sink = append_sink(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint"), interval=None)
-        sink.start().awaitTermination()
-    return spark.read.parquet(str(tmp_path / "out"))
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(source))
+        run(stream).start().awaitTermination()
+
+
+def rows_in_order():
+    return sorted(some_rows(3, 900, 30_000, [60, 10, 250]), key=lambda r: (r[1], r[3]))
 
 
 def test_stream_carries_the_last_emission_over_restarts(spark, tmp_path):
-    rows = sorted(some_rows(3, 900, 30_000, [60, 10, 250]), key=lambda r: (r[1], r[3]))
-    (tmp_path / "in").mkdir()
-    kept = stream_result(spark, tmp_path, [rows[:300], rows[300:600], rows[600:]])
+    rows = rows_in_order()
+
+    def run(stream):
+        kept = throttle_stream(stream, "k", "ms", F.col("wait"), "id")
+        return append_sink(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint"), interval=None)
+
+    in_batches(spark, tmp_path, [rows[:300], rows[300:600], rows[600:]], run)
+    kept = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
     assert kept.columns == ["key", "k", "ms", "wait", "id"]
 
 
+def test_batches_carry_the_last_emission_over_restarts(spark, tmp_path):
+    rows = rows_in_order()
+    out = str(tmp_path / "out")
+
+    def run(stream):
+        return throttle_batches(stream, "k", "ms", F.col("wait"), "id", out, str(tmp_path / "checkpoint"), None)
+
+    in_batches(spark, tmp_path, [rows[:300], rows[300:310], rows[310:]], run)
+    kept = emitted_rows(spark, out)
+    assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
+    assert sorted(kept.columns) == ["id", "k", "ms", "wait"]
+
+
 def test_stream_with_expiring_state(spark, tmp_path):
     """State with a time limit keeps a query busy, so it needs a trigger that runs on."""
     source = tmp_path / "in"

@@ -27,7 +27,7 @@ from tidemark.sources.tables import as_telemetry, read_table, with_zoned_time
 from tidemark.sources.text import read_lines, split_lines
 from tidemark.streaming.replay import file_stream, replay_to_end
 from tidemark.streaming.sinks import append_sink, bucketed_text_sink, changelog_sink, latest_rows, snapshot_sink
-from tidemark.streaming.throttle import throttle_stream
+from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -485,7 +485,7 @@ def next_sql(wait: int, rows: str) -> str:
     return f"(select k, ms, min(event_id) event_id from e where {rows} group by k, ms)"
 
 
-def sampled_sql(waits: dict[int, str]) -> str:
+def sampled_sql(waits: dict[int, str], key: str = "event_type") -> str:
     joins = " ".join(
         f"asof left join {next_sql(wait, rows)} n{wait} on e.k = n{wait}.k and n{wait}.ms > e.ms + {wait}"
         for wait, rows in waits.items()
@@ -495,7 +495,7 @@ def sampled_sql(waits: dict[int, str]) -> str:
     )
     picks = ", ".join(f"n{wait}.ms m{wait}, n{wait}.event_id i{wait}" for wait in waits)
     return f"""
-        with recursive e as (select event_type k, {MS_SQL} ms, event_id, {LEVEL_SQL} lvl from events),
+        with recursive e as (select {key} k, {MS_SQL} ms, event_id, {LEVEL_SQL} lvl from events),
         j as (select e.event_id, {picks} from e {joins}),
         hop as materialized (select event_id, arg_min(id, (ms, id)) nxt from ({options}) o group by event_id),
         chain as (select arg_min(event_id, (ms, event_id)) event_id from e group by k
@@ -519,12 +519,30 @@ def sample_ahead(spark, folder):
     return kept.select(F.col("event_type").alias("key"), "event_id")
 
 
+def throttle_source(spark: SparkSession, folder: str) -> DataFrame:
+    schema = read_table(spark, folder, "events").schema
+    rows = with_zoned_time(file_stream(spark, f"{folder}/events.parquet", schema))
+    return rows.select("event_type", "user_id", "ts", "event_id")
+
+
 @query("stream_throttle_10m", THROTTLE_SQL)
 def stream_throttle_10m(spark, folder):
+    """Few keys, so each micro-batch is throttled as a table."""
     work = scratch_dir(spark, "throttle")
-    schema = read_table(spark, folder, "events").schema
-    rows = with_zoned_time(file_stream(spark, f"{folder}/events.parquet", schema)).select("event_type", "ts", "event_id")
-    kept = throttle_stream(rows, "event_type", epoch_millis("ts"), TEN_MINUTES_MS, "event_id").select("key", "event_id")
+    sink = throttle_batches(
+        throttle_source(spark, folder), "event_type", epoch_millis("ts"), TEN_MINUTES_MS, "event_id",
+        f"{work}/out", f"{work}/checkpoint", None,
+    )
+    sink.start().awaitTermination()
+    return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id")
+
+
+@query("stream_throttle_user_10m", sampled_sql({TEN_MINUTES_MS: "true"}, "cast(user_id as varchar)"))
+def stream_throttle_user_10m(spark, folder):
+    """Many keys, with state per key."""
+    work = scratch_dir(spark, "throttle")
+    rows = throttle_source(spark, folder)
+    kept = throttle_stream(rows, "user_id", epoch_millis("ts"), TEN_MINUTES_MS, "event_id").select("key", "event_id")
     append_sink(kept, f"{work}/out", f"{work}/checkpoint", None).start().awaitTermination()
     return spark.read.parquet(f"{work}/out")
 

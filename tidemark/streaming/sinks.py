@@ -6,6 +6,8 @@ progress: a query restarted with the same one goes on where it stopped (X2, S4).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -22,6 +24,12 @@ def _writer(df: DataFrame, checkpoint: str, mode: str, interval: str | None) ->
     return writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
 
 
+def batch_writer(
+    df: DataFrame, checkpoint: str, mode: str, interval: str | None, write: Callable[[DataFrame, int], None]
+) -> DataStreamWriter:
+    return _writer(df, checkpoint, mode, interval).foreachBatch(write)
+
+
 def kafka_sink(
     df: DataFrame, servers: str, topic: str, checkpoint: str, mode: str = "append", interval: str | None = CHECKPOINT_INTERVAL
 ) -> DataStreamWriter:
@@ -87,7 +95,7 @@ def changelog_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _writer(df, checkpoint, "update", interval).foreachBatch(write)
+    return batch_writer(df, checkpoint, "update", interval, write)
 
 
 def latest_rows(changelog: DataFrame, *keys: str) -> DataFrame:
@@ -105,4 +113,4 @@ def snapshot_sink(df: DataFrame, path: str, checkpoint: str, interval: str | Non
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    return _writer(df, checkpoint, "complete", interval).foreachBatch(write)
+    return batch_writer(df, checkpoint, "complete", interval, write)

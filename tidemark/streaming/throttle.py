@@ -1,4 +1,9 @@
-"""Sampling by time per key on a stream."""
+"""Sampling by time per key on a stream.
+
+Two forms with the same result. ``throttle_stream`` keeps its state per key and answers row by row, for keys
+that spread the load. ``throttle_batches`` runs each micro-batch through the distributed table form, for
+keys that may hold a large share of a big micro-batch, such as in a backfill.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from tidemark.functions.keys import key_text
 from tidemark.functions.timing import as_column
+from tidemark.operators.throttle import throttle
+from tidemark.streaming.sinks import CHECKPOINT_INTERVAL, batch_writer
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -72,8 +79,7 @@ def throttle_stream(
 
     Within a micro-batch rows go by (time, row id); a row that arrives in a later batch than a newer one
     is compared with what was emitted so far. All rows of a key in a micro-batch are handled by one
-    task, which holds one row per millisecond: choose keys that spread the load (such as
-    the source partition) and bound the micro-batch. For whole tables use ``operators.throttle``.
+    task, which holds one row per millisecond.
     ``ttl_ms`` forgets keys that were silent for so long by the clock; choose it above the wait, and
     a trigger that runs on: Spark keeps making batches to watch the clock, so available-now never ends.
     """
@@ -89,3 +95,51 @@ def throttle_stream(
     return kept.groupBy("key").transformWithStateInPandas(
         LastEmitted(ttl_ms), out, "Append", "None" if ttl_ms is None else "ProcessingTime"
     )
+
+
+def throttle_batches(
+    df: DataFrame,
+    key: str | Column,
+    time_ms: str | Column,
+    wait_ms: int | Column,
+    row_id: str,
+    path: str,
+    checkpoint: str,
+    interval: str | None = CHECKPOINT_INTERVAL,
+) -> DataStreamWriter:
+    """X1 with its sink: emitted rows go to ``path/rows``, a folder per micro-batch.
+
+    ``path/last`` holds the last emission of each key after each micro-batch. A row can follow it if it is
+    past its wait; all rows that can are then throttled as a table. A micro-batch that is run again
+    starts from the state before it and replaces its own folders.
+    """
+    wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
+    timed = df.withColumns(
+        {
+            "throttle_key": key_text(key),
+            "throttle_ms": as_column(time_ms).cast("bigint"),
+            "throttle_wait": wait.cast("bigint"),
+        }
+    )
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        read = rows.sparkSession.read
+        known = None
+        if batch_id > 0:
+            known = read.parquet(f"{path}/last/batch_id={batch_id - 1}")
+            past_wait = F.col("last").isNull() | (F.col("throttle_ms") - F.col("throttle_wait") > F.col("last"))
+            rows = rows.join(known, "throttle_key", "left").filter(past_wait).drop("last")
+        emitted = throttle(rows, "throttle_key", "throttle_ms", F.col("throttle_wait"), row_id)
+        emitted.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        last = read.parquet(f"{path}/rows/batch_id={batch_id}").select("throttle_key", F.col("throttle_ms").alias("last"))
+        last = last if known is None else last.unionByName(known)
+        newest = last.groupBy("throttle_key").agg(F.max("last").alias("last"))
+        newest.write.mode("overwrite").parquet(f"{path}/last/batch_id={batch_id}")
+
+    return batch_writer(timed, checkpoint, "append", interval, write)
+
+
+def emitted_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that :func:`throttle_batches` has written."""
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.drop("batch_id", "throttle_key", "throttle_ms", "throttle_wait")
