@@ -11,21 +11,15 @@ from pyspark.sql import functions as F
 # Fixed values of the line format.
 PART_SEPARATOR = "    "
 PARTS_PER_LINE = 3
-NAMES = ("topic", "partition", "offsets")
 NAME_SEPARATOR = ":"
 RANGE_SEPARATOR = "to"
 RANGE_FORMAT = "%d -> %d = %d"
 
 # Characters trimmed around names and values: the space and all control characters below it.
 BLANKS = "".join(chr(code) for code in range(33))
+BLANK_RANGE, CONTROL_RANGE = r"\x00-\x20", r"\x00-\x1f"
 
 
-# True for lines without control characters: for those the built-in trim does, at a fraction of the cost.
-_PLAIN = "plain"
-
-
-def _trim(col: Column) -> Column:
-    return F.when(F.col(_PLAIN), F.trim(col)).otherwise(F.trim(col, F.lit(BLANKS)))
 
 
 def parse_offset_lines(df: DataFrame, value: str = "value", strict: bool = True) -> DataFrame:
@@ -36,54 +30,57 @@ def parse_offset_lines(df: DataFrame, value: str = "value", strict: bool = True)
     are ignored; what is missing is 0 (null for the topic). A bad number or a part without a value
     fails the query in strict mode and gives null otherwise.
 
-    As a line has a fixed number of parts, all of this is plain expressions that compile, without lambdas.
+    As a line has a fixed number of parts, all of this is plain expressions without lambdas. They come in
+    steps that stay small enough, once generated, for the JVM to compile.
     """
     kept = [c for c in df.columns if c != value]
     numbers = range(1, PARTS_PER_LINE + 1)
+    colon = F.lit(NAME_SEPARATOR)
 
     pieces = [F.split_part(value, F.lit(PART_SEPARATOR), F.lit(n)) for n in numbers]
     used = sum((F.length(p) for p in pieces), F.lit(len(PART_SEPARATOR) * (PARTS_PER_LINE - 1)))
     beyond = F.replace(F.substr(value, used + 1), F.lit(PART_SEPARATOR), F.lit(""))
-    lines = (
-        df.filter((pieces[-1] != "") & (beyond == ""))
-        .withColumn(_PLAIN, ~F.col(value).rlike(r"[\x00-\x1f]"))
-        .select(*kept, _PLAIN, *[F.rtrim(_trim(p), F.lit(NAME_SEPARATOR)).alias(f"part_{n}") for n, p in zip(numbers, pieces)])
-    )
+    lines = df.filter((pieces[-1] != "") & ((F.length(value) == used) | (beyond == "")))
 
-    def name(n: int) -> Column:
-        part = F.col(f"part_{n}")
-        missing = F.raise_error(F.concat(F.lit("part without a value: "), part)).cast("string") if strict else F.lit(None)
-        written = F.split_part(part, F.lit(NAME_SEPARATOR), F.lit(1))
-        # Names are mostly written as they should be, and comparing is cheaper than converting.
-        clean = F.when(written.isin(*NAMES), written).otherwise(F.lower(_trim(written)))
-        return F.when(F.contains(part, F.lit(NAME_SEPARATOR)), clean).otherwise(missing)
+    def clean(piece: Column) -> Column:
+        """Without blanks at the ends and without colons at the end; blanks around colons may stay if they are spaces."""
+        bare = F.rtrim(F.trim(piece, F.lit(BLANKS)), colon)
+        rare = F.regexp_replace(bare, f"[{BLANK_RANGE}]*{NAME_SEPARATOR}[{BLANK_RANGE}]*", NAME_SEPARATOR)
+        return F.when(F.col(value).rlike(f"[{CONTROL_RANGE}]"), rare).otherwise(F.rtrim(F.trim(piece), colon))
 
-    def text(n: int) -> Column:
-        return _trim(F.split_part(f"part_{n}", F.lit(NAME_SEPARATOR), F.lit(2)))
+    parts = lines.select(*kept, *[clean(p).alias(f"part_{n}") for n, p in zip(numbers, pieces)])
 
-    named = lines.select(
-        *kept, *[name(n).alias(f"name_{n}") for n in numbers], *[text(n).alias(f"text_{n}") for n in numbers]
-    )
+    def name(part: str) -> Column:
+        missing = F.raise_error(F.concat(F.lit("part without a value: "), part)).cast("string") if strict else F.lit(None)
+        return F.when(F.contains(part, colon), F.lower(F.trim(F.split_part(part, colon, F.lit(1))))).otherwise(missing)
 
-    def cast(col: Column, dtype: str) -> Column:
-        # Casts trim by themselves.
-        return col.cast(dtype) if strict else col.try_cast(dtype)
+    named = parts.select(
+        *kept,
+        *[name(f"part_{n}").alias(f"name_{n}") for n in numbers],
+        *[F.trim(F.split_part(f"part_{n}", colon, F.lit(2))).alias(f"text_{n}") for n in numbers],
+    )
 
-    def last(wanted: str, read, default) -> Column:
+    def last(wanted: str) -> Column:
         found = F
         for n in reversed(numbers):
-            found = found.when(F.col(f"name_{n}") == wanted, read(F.col(f"text_{n}")))
-        return found.otherwise(default)
+            found = found.when(F.col(f"name_{n}") == wanted, F.col(f"text_{n}"))
+        return found.alias(wanted)
+
+    texts = named.select(*kept, last("topic"), last("partition"), last("offsets"))
+
+    def number(text: Column, dtype: str, given: Column) -> Column:
+        # Casts trim by themselves.
+        return F.when(given, text.cast(dtype) if strict else text.try_cast(dtype)).otherwise(F.lit(0).cast(dtype))
 
-    def range_end(index: int):
-        return lambda col: cast(F.split_part(col, F.lit(RANGE_SEPARATOR), F.lit(index)), "bigint")
+    def offset(index: int) -> Column:
+        return number(F.split_part("offsets", F.lit(RANGE_SEPARATOR), F.lit(index)), "bigint", F.col("offsets").isNotNull())
 
-    ranges = named.select(
+    ranges = texts.select(
         *kept,
-        last("topic", lambda col: col, F.lit(None)).alias("topic"),
-        last("partition", lambda col: cast(col, "int"), F.lit(0)).alias("partition"),
-        last("offsets", range_end(1), F.lit(0)).alias("from_offset"),
-        last("offsets", range_end(2), F.lit(0)).alias("until_offset"),
+        "topic",
+        number(F.col("partition"), "int", F.col("partition").isNotNull()).alias("partition"),
+        offset(1).alias("from_offset"),
+        offset(2).alias("until_offset"),
     )
     if strict:
         # Numbers fail only when they are read, so that of a partition nobody asks for is read here.
