@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans import catalog
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
@@ -36,7 +37,7 @@ def table(names, rows):
     return sorted(names), sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     result = QUERIES[name](spark, FOLDER)
     ours = table(result.columns, result.collect())
