@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import block_tables, mixing, segment_popcount
+from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, mixing, segment_popcount
 from tidemark.llm.common import written
 from tidemark.sources.tables import read_table
 
@@ -63,3 +63,35 @@ FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = written(block_tables.edited_fingerprints(read_table(spark, sf_dir, "documents")), "prints")
     return block_tables.count_near(prints).drop("hi", "lo")
+
+
+@query
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op2_cover_tree"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), parts AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM parts
+"""
+
+
+@query
+def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_parse.with_languages(read_table(spark, sf_dir, "documents"))
