@@ -10,11 +10,12 @@ from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Settings every transform relies on: UTC conversions, last-one-wins for a repeated JSON name,
-# and state that lives on disk (RocksDB) instead of the executor heap.
+# Settings every transform relies on: UTC conversions, last-one-wins for a repeated JSON name, state that lives on
+# disk (RocksDB) instead of the executor heap, and batches for Python that long texts do not swell.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
