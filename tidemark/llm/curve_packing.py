@@ -40,15 +40,18 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, ranks: str):
-        self.slow = Tokenizer.from_file(vocabulary)
-        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
+        self.special = [t.content for t in self.slow().get_added_tokens_decoder().values()]
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
+    def slow(self) -> Tokenizer:
+        return Tokenizer.from_file(self.vocabulary)
+
     def ids(self, text: str) -> np.ndarray:
-        if any(t in text for t in self.special):
-            found = self.slow.encode(text, add_special_tokens=False).ids
+        if any(t in text for t in self.special):  # rare, so the file is read for it
+            found = self.slow().encode(text, add_special_tokens=False).ids
         else:
             found = self.fast.encode_ordinary(text)
         return np.array([*found, END_ID], dtype="<u4")
