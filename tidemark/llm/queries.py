@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, mixing, segment_popcount
+from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, log_bilinear, mixing, segment_popcount, toxicity
 from tidemark.llm.common import written
 from tidemark.sources.tables import read_table
 
@@ -95,3 +95,13 @@ def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_parse.with_languages(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.with_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.with_scores(read_table(spark, sf_dir, "documents"))
