@@ -186,7 +186,7 @@ def trained(triples: DataFrame, classes: Classes, mass: np.ndarray, rounds: int
             weight = float(n.sum())
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(new))), pa.array(new * weight), pa.array(np.full(len(new), weight))], names=["at", "v", "w"])
 
-        moved = triples.repartition(PARTS, "triple").sortWithinPartitions("triple").mapInArrow(step, "at BIGINT, v DOUBLE, w DOUBLE")
+        moved = triples.repartition(PARTS).sortWithinPartitions("triple").mapInArrow(step, "at BIGINT, v DOUBLE, w DOUBLE")
         rows = moved.groupBy("at").agg((F.sum("v") / F.sum("w")).alias("v")).collect()
         if rows:
             params = params.copy()
