@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, log_bilinear, mixing, segment_popcount, toxicity
+from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, induced_sort, log_bilinear, mixing, segment_popcount, toxicity
 from tidemark.llm.common import written
 from tidemark.sources.tables import read_table
 
@@ -105,3 +105,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_bilinear.with_scores(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_induced_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return induced_sort.remove_repeats(docs).drop("text")
