@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_text_columns, id_crc32, runs_of
+from tidemark.llm.common import add_text_columns, free_name, id_crc32, runs_of
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 768  # per language: the bound of what is learned from
@@ -158,9 +158,11 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, docs_each: int = S
     return tuple((name, tuple(texts)) for name, texts in sorted(found.items()))
 
 
-def identify(docs: DataFrame, samples: tuple, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, samples: tuple, doc_id: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
     """``<doc_id>, lang_pred, score`` for every row; ``und`` with score 0 if the text is null or has no letter.
 
+    ``keep`` keeps all columns but ``text`` in place of the id alone; a ``lang_pred`` or ``score`` among them is replaced.
+
     Without any labelled text every language is ``und``. Rows and ids may repeat or be null; an empty table gives
     an empty result; ties go to the language that is first by name; other columns are not looked at.
     """
@@ -169,8 +171,10 @@ def identify(docs: DataFrame, samples: tuple, doc_id: str = "doc_id", text: str
         names, scores = predict(texts, samples)
         return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"))
-    return add_text_columns(rows, "body", "lang_pred STRING, score DOUBLE", values).withColumnRenamed("id", doc_id)
+    others = [c for c in docs.columns if c != text and c.lower() not in ("lang_pred", "score")] if keep else [doc_id]
+    body = free_name(docs, "body")
+    rows = docs.select(*others, F.col(text).alias(body))
+    return add_text_columns(rows, body, "lang_pred STRING, score DOUBLE", values)
 
 
 def in_training(doc_id: str):

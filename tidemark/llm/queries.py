@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, induced_sort, log_bilinear, mixing, segment_popcount, toxicity
+from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, induced_sort, log_bilinear, mixing, quote_threads, segment_popcount, toxicity
 from tidemark.llm.common import written
 from tidemark.sources.tables import read_table
 
@@ -87,6 +87,11 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, compone
 """
 
 
+@query
+def op4_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_threads.link_quotations(read_table(spark, sf_dir, "conversations"))
+
+
 @query
 def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(read_table(spark, sf_dir, "documents"))
