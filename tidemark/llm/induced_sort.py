@@ -27,8 +27,9 @@ from tidemark.llm.common import free_name, utf8, written
 
 WIDTH = 100
 GRAM = 32
-CHUNK = 1 << 20  # bytes that are hashed at once
-HELD = 1 << 22  # queued positions that a shard keeps in memory; the rest is in files
+CHUNK = 1 << 18  # bytes that are hashed at once
+HELD = 1 << 20  # queued positions that a shard keeps in memory; the rest is in files
+SHARDS = 4  # shards per shuffle partition
 _BASE = 0x9E3779B97F4A7C15
 _LAST = (1 << 63) - 1
 
@@ -407,7 +408,8 @@ def _sorted_out(fetched: DataFrame, width: int, held: int) -> DataFrame:
             [pa.array(a[own]), pa.array(b[own]), pa.array(start[first]), pa.array(start[last] + width)], names=["a", "b", "begin", "stop"]
         )
 
-    return fetched.repartition("key").mapInArrow(step, "a BIGINT, b INT, begin BIGINT, stop BIGINT")
+    shards = SHARDS * int(fetched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fetched.repartition(shards, "key").mapInArrow(step, "a BIGINT, b INT, begin BIGINT, stop BIGINT")
 
 
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
