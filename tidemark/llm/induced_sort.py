@@ -398,9 +398,11 @@ def _sorted_out(fetched: DataFrame, width: int, held: int) -> DataFrame:
             own = np.searchsorted(base, place, side="right") - 1
             order = np.lexsort((begin[own] + place - base[own], b[own], a[own], group))
             late.append(place[order][np.r_[False, group[order][1:] == group[order][:-1]]])
-        place = np.sort(np.concatenate(late)) if late else np.zeros(0, np.int64)
+        if not late:
+            return
+        place = np.sort(np.concatenate(late))
         own = np.searchsorted(base, place, side="right") - 1
-        new = np.r_[True, (np.diff(place) != 1) | (np.diff(own) != 0)] if len(place) else np.zeros(0, bool)
+        new = np.r_[True, (np.diff(place) != 1) | (np.diff(own) != 0)]
         first = np.flatnonzero(new)
         last = np.r_[first[1:], len(place)] - 1
         own, start = own[first], (begin[own] + place - base[own])
