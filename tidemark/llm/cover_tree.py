@@ -82,13 +82,21 @@ class Tree:
             self.children.append(np.searchsorted(lower, upper))
 
 
+def _cosines(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], step: int = 1 << 14) -> np.ndarray:
+    """Products of rows: ``x`` and ``y`` are points and the places of the rows to take, which are gathered ``step`` at a time."""
+    out = np.empty(len(x[1]))
+    for at in range(0, len(out), step):
+        out[at : at + step] = np.einsum("nd,nd->n", x[0][x[1][at : at + step]], y[0][y[1][at : at + step]])
+    return out
+
+
 def descend(a: Tree, b: Tree, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Ranges of leaves ``a_begin, a_end, b_begin, b_end`` whose pairs all reach the threshold; together every such pair once."""
     reach = np.sqrt(max(0.0, 2 - 2 * threshold))
     i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
     last = len(a.heads) - 1
     for at in range(last + 1):
-        cosine = np.einsum("nd,nd->n", a.points[a.heads[at][i]], b.points[b.heads[at][j]])
+        cosine = _cosines((a.points, a.heads[at][i]), (b.points, b.heads[at][j]))
         if at == last:
             keep = cosine >= threshold
             yield i[keep], i[keep] + 1, j[keep], j[keep] + 1
