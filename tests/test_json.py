@@ -49,6 +49,26 @@ def test_normalise(spark):
     assert texts[len(GOOD) :] == [""] * len(BAD)
 
 
+@pytest.mark.parametrize(
+    "text, kept",
+    [
+        ('{"a": 1.10}', '{"a":1.10}'),
+        ('{"a": 1.0, "b": 1E5}', '{"a":1.0,"b":1E5}'),
+        ('{"a": ' + "1" * 45 + "}", '{"a":' + "1" * 45 + "}"),
+        ('{"a": 0.' + "3" * 43 + "}", '{"a":0.' + "3" * 43 + "}"),
+        ('{ "b" : "x  \\" : y" ,\t"a":[ 1 , {"c": null} ] }\n', '{"b":"x  \\" : y","a":[1,{"c":null}]}'),
+        ("{'a': 1.10}", '{"a":1.1}'),
+        ("{a: " + "1" * 45 + "}", None),
+        ('{"a": NaN}', None),
+        ('{"a": "NaN"}', '{"a":"NaN"}'),
+        ('{"a": "it\'s", "b": "x: y"}', '{"a":"it\'s","b":"x: y"}'),
+    ],
+)
+def test_text_keeps_its_numbers(spark, text, kept):
+    assert parsed(spark, [text], js.json_or_line()) == [kept if kept is not None else json.dumps({"line": text}, separators=(",", ":"))]
+    assert parsed(spark, [text], js.json_or_empty()) == [kept or ""]
+
+
 def test_stamp_replaces_the_field(spark):
     rows = jobs.stamped(lines(spark, list(GOOD)), strict=True, now_ms=F.lit(1700000000123)).collect()
     assert [r.stamp_ms for r in rows] == [1700000000123] * len(GOOD)
@@ -67,4 +87,4 @@ def test_counts_need_every_line_parsed(spark):
     with pytest.raises(Exception, match="not a JSON object"):
         jobs.salted_counts(lines(spark, ["{}", "bad"]), strict=True).collect()
     tolerant = jobs.salted_counts(lines(spark, ["{}", "bad"]), strict=False, now_ms=F.lit(0)).collect()
-    assert sum(r.cnt for r in tolerant) == 2
+    assert sum(r.cnt for r in tolerant) == 2 and sum(r.bad for r in tolerant) == 1

@@ -122,11 +122,15 @@ def test_lowest_needs_a_fourth(spark):
 
 def test_lists_hold_all_ranges_in_order(spark):
     ranges = parse(spark, "\n".join(line(i, 0, i, f"t{i % 2}") for i in range(100)))
-    lists = ranges_by_topic(ranges, lines_per_chunk=8).orderBy("topic", "chunk").collect()
-    assert max(len(r.ranges) for r in lists) == 4
-    for topic in ("t0", "t1"):
-        listed = [x.partition for r in lists if r.topic == topic for x in r.ranges]
-        assert listed == [i for i in range(100) if f"t{i % 2}" == topic]
+    listed = ranges_by_topic(ranges).collect()
+    assert [(r.topic, r.partition) for r in listed] == [(t, i) for t in ("t0", "t1") for i in range(100) if f"t{i % 2}" == t]
+
+
+def test_lists_of_several_blocks_are_whole(spark):
+    blocks = [["\n".join(line(100 * b + i, 0, i) for i in range(50))] for b in range(3)]
+    ranges = parse_offset_lines(split_lines(spark.createDataFrame(blocks, "value string"), "value"))
+    listed = ranges_by_topic(ranges).collect()
+    assert [(r.line_no, r.partition) for r in listed] == [(i, 100 * b + i) for i in range(50) for b in range(3)]
 
 
 def test_report_has_sections_per_topic(spark):

@@ -25,7 +25,7 @@ def read_columns(text):
         ("window_last_value_1h", {"event_id", "ts", "event_type", "value"}),
         ("device_last_values_1m", {"event_id", "ts", "user_id", "event_type", "props"}),
         ("salted_window_count_3s", {"event_id", "ts"}),
-        ("job_tolerant_counts_1m", {"event_id", "ts"}),
+        ("job_tolerant_counts_1m", {"event_id", "ts", "event_type", "props"}),
         ("job_strict_counts_1m", {"event_id", "ts", "props"}),
     ],
 )

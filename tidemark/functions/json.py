@@ -17,12 +17,14 @@ LENIENT_JSON = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 END_MARK = "~end~"
 
 _PARSED = "__parsed"
+_STRING = r'"(?:[^"\\]|\\.)*+"'
 
 
 def with_json_object(df: DataFrame, value: str = "value", out: str = "obj") -> DataFrame:
     """Add ``out``: the object in ``value`` as VARIANT, null for anything that is not one object.
 
-    The text is parsed in its own projection, because the result is used several times.
+    The text is parsed in its own projection, because the result is used several times. Numbers that are none
+    (``NaN``) make a text bad, and so does, where only VARIANT can render the text, a number that it would round.
     """
     wrapped = F.concat(F.lit("["), F.col(value), F.lit(f',"{END_MARK}"]'))
     parsed = F.from_json(wrapped, "variant", LENIENT_JSON)
@@ -30,13 +32,32 @@ def with_json_object(df: DataFrame, value: str = "value", out: str = "obj") -> D
         _PARSED, "$[2]", "variant"
     ).isNull()
     is_object = F.col(value).rlike(r"^[ \t\r\n]*\{")
+    outside = _outside_strings(value)
+    rounded = ~is_standard(value) & outside.rlike(r"[0-9.]{39,}|[0-9.]{16,}[eE]")
+    exact = ~outside.rlike(r"\b(?:NaN|Infinity|INF)\b") & ~rounded
     return (
         df.withColumn(_PARSED, parsed)
-        .withColumn(out, F.when(whole & is_object, F.variant_get(_PARSED, "$[0]", "variant")))
+        .withColumn(out, F.when(whole & is_object & exact, F.variant_get(_PARSED, "$[0]", "variant")))
         .drop(_PARSED)
     )
 
 
+def _outside_strings(value: str) -> Column:
+    return F.regexp_replace(value, _STRING, "")
+
+
+def is_standard(value: str = "value") -> Column:
+    """Of a text that parses: whether its names and strings are all in double quotes."""
+    return ~_outside_strings(value).rlike(r"'|[A-Za-z_$][\w$]*\s*:")
+
+
+def object_text(obj: str = "obj", value: str = "value") -> Column:
+    """The JSON text of the object. Standard JSON stays as written, so numbers keep every digit, but for the blanks
+    outside of strings; field order, escapes and repeated names stay too. Other texts are rendered by VARIANT."""
+    compact = F.regexp_replace(value, rf"({_STRING})|\s+", "$1")
+    return F.when(F.col(obj).isNotNull(), F.when(is_standard(value), compact).otherwise(F.to_json(obj)))
+
+
 def strict_object(obj: str = "obj", value: str = "value") -> Column:
     """The object itself; a bad text fails the query."""
     return F.when(F.col(obj).isNotNull(), F.col(obj)).otherwise(_fail(value).cast("variant"))
@@ -53,12 +74,12 @@ def _fail(value: str) -> Column:
 
 def json_or_line(obj: str = "obj", value: str = "value") -> Column:
     """JSON text of the object, or ``{"line": <raw text>}`` when it is bad."""
-    return F.when(F.col(obj).isNotNull(), F.to_json(obj)).otherwise(F.to_json(F.struct(F.col(value).alias("line"))))
+    return F.coalesce(object_text(obj, value), F.to_json(F.struct(F.col(value).alias("line"))))
 
 
-def json_or_empty(obj: str = "obj") -> Column:
+def json_or_empty(obj: str = "obj", value: str = "value") -> Column:
     """JSON text of the object, or the empty string when it is bad."""
-    return F.coalesce(F.to_json(obj), F.lit(""))
+    return F.coalesce(object_text(obj, value), F.lit(""))
 
 
 def fields_or_line(obj: str = "obj", value: str = "value") -> Column:

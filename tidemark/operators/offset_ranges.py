@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.offset_lines import range_text
 
 LOWEST = 3
-LINES_PER_CHUNK = 4096
 
 # Fixed values of the text report.
 RANGE_LINE = "\t%d-> %s"
@@ -48,18 +47,14 @@ def lowest_deltas(ranges: DataFrame, lowest: int = LOWEST) -> DataFrame:
     )
 
 
-def ranges_by_topic(ranges: DataFrame, lines_per_chunk: int = LINES_PER_CHUNK) -> DataFrame:
-    """A4: the ranges of a topic as lists, in line order.
+def ranges_by_topic(ranges: DataFrame) -> DataFrame:
+    """A4: the ranges of each topic in line order, one row per range.
 
-    A list covers ``lines_per_chunk`` consecutive lines, so it stays small for any topic; the lists
-    of a topic in ``chunk`` order are the whole.
+    The rows are dealt out by (topic, line) and sorted where they are: read in partition order they are the lists,
+    and a topic of any size is spread over tasks.
     """
-    fields = ["line_no", "partition", "from_offset", "until_offset", "delta"]
-    return (
-        ranges.groupBy("topic", F.floor(F.col("line_no") / lines_per_chunk).alias("chunk"))
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("ranges"))
-        .select("topic", "chunk", "ranges")
-    )
+    order = ["topic", "line_no", "partition", "from_offset", "until_offset"]
+    return ranges.select(*order, "delta").repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def report_lines(ranges: DataFrame, lowest: int = LOWEST) -> DataFrame:

@@ -47,17 +47,18 @@ def last_value_windows(
     )
 
 
-def window_counts(df: DataFrame, time: str, key: str | Column, width: str) -> DataFrame:
-    """A2: rows per key and window, typed and as the JSON text ``{"key", "count"}``."""
+def window_counts(df: DataFrame, time: str, key: str | Column, width: str, **more: Column) -> DataFrame:
+    """A2: rows per key and window, typed and as the JSON text ``{"key", "count"}``; ``more`` adds aggregates by name."""
     return (
         df.groupBy(F.window(time, width), as_column(key).alias("key"))
-        .agg(F.count("*").alias("cnt"))
+        .agg(F.count("*").alias("cnt"), *[column.alias(name) for name, column in more.items()])
         .select(
             F.col("window.start").alias("win_start"),
             F.col("window.end").alias("win_end"),
             "key",
             "cnt",
             F.to_json(F.struct("key", F.col("cnt").alias("count"))).alias("value"),
+            *more,
         )
     )
 

@@ -186,6 +186,11 @@ def salted_sql(width: str) -> str:
         from events group by event_id % 5, time_bucket(interval '{width}', ts)"""
 
 
+def tolerant_sql(width: str) -> str:
+    counts = salted_sql(width).replace("count(*) cnt,", f"count(*) cnt, count_if(not json_valid({MESSAGE_SQL})) bad,")
+    return counts
+
+
 def salted(spark: SparkSession, folder: str, width: str) -> DataFrame:
     return zoneless(window_counts(events(spark, folder), "ts", salt_key("event_id"), width))
 
@@ -269,6 +274,36 @@ def json_normalise_or_empty(spark, folder):
     return jobs.normalised(message_rows(events(spark, folder)).select("event_id", "value"))
 
 
+NUMBERS_SQL = """'{"n":' || event_id || '.10,"big":12345678901234567890123456789012345678901' || event_id
+    || ',"e":1E5,"small":0.1234567890123456789012345678901234567890123,"s":"a  b \\" c","o":{"z":[1,2.0],"a":null}}'"""
+
+
+def number_rows(rows: DataFrame) -> DataFrame:
+    """Records whose numbers do not fit any binary type, with blanks between and inside of strings; some lines are bad."""
+    text = F.format_string(
+        '{ "n": %d.10, "big":12345678901234567890123456789012345678901%d,\t"e" : 1E5,"small":0.1234567890123456789012345678901234567890123, '
+        '"s": "a  b \\" c", "o": {"z": [1, 2.0], "a": null} }\n',
+        "event_id", "event_id",
+    )
+    bad = F.concat(F.lit("bad "), F.col("event_id").cast("string"))
+    return rows.select("event_id", F.when(F.col("event_id") % 7 == 0, bad).otherwise(text).alias("value"))
+
+
+@query(
+    "json_numbers_fallback",
+    f"""select event_id, case when event_id % 7 = 0 then '{{"line":"bad ' || event_id || '"}}' else {NUMBERS_SQL} end as value
+        from events""",
+)
+def json_numbers_fallback(spark, folder):
+    parsed = js.with_json_object(number_rows(events(spark, folder)))
+    return parsed.select("event_id", js.json_or_line().alias("value"))
+
+
+@query("json_numbers_normalise", f"select event_id, case when event_id % 7 = 0 then '' else {NUMBERS_SQL} end as value from events")
+def json_numbers_normalise(spark, folder):
+    return jobs.normalised(number_rows(events(spark, folder)))
+
+
 @query(
     "json_fallback_html",
     "select page_id, cast(json_object('line', html) as varchar) as value from pages",
@@ -303,7 +338,7 @@ def job_strict_counts_1m(spark, folder):
     return job_counts(spark, folder, "1 minute", strict=True)
 
 
-@query("job_tolerant_counts_1m", salted_sql("1 minute"))
+@query("job_tolerant_counts_1m", tolerant_sql("1 minute"))
 def job_tolerant_counts_1m(spark, folder):
     return job_counts(spark, folder, "1 minute", strict=False)
 
@@ -313,7 +348,7 @@ def job_strict_counts_3s(spark, folder):
     return job_counts(spark, folder, "3 seconds", strict=True)
 
 
-@query("stream_job_tolerant_counts_1m", salted_sql("1 minute"))
+@query("stream_job_tolerant_counts_1m", tolerant_sql("1 minute"))
 def stream_job_tolerant_counts_1m(spark, folder):
     def counts(rows):
         lines = message_rows(with_zoned_time(rows))
@@ -437,16 +472,10 @@ def offset_bottom3(spark, folder):
 
 @query(
     "offset_ranges_by_topic",
-    f"""select topic, cast(line_no // 4096 as bigint) chunk,
-               string_agg("partition" || ': ' || from_offset || ' -> ' || until_offset || ' = ' || delta, '; ' order by line_no) ranges
-        from ({OFFSETS_SQL}) r group by 1, 2""",
+    f"""select topic, line_no, "partition", from_offset, until_offset, delta from ({OFFSETS_SQL}) r""",
 )
 def offset_ranges_by_topic(spark, folder):
-    def text(r):
-        return F.format_string("%d: %d -> %d = %d", r["partition"], r["from_offset"], r["until_offset"], r["delta"])
-
-    lists = ranges_by_topic(offset_ranges(spark, folder))
-    return lists.withColumn("ranges", F.array_join(F.transform("ranges", text), "; "))
+    return ranges_by_topic(offset_ranges(spark, folder))
 
 
 @query(
@@ -598,6 +627,6 @@ def file_sink_bucketed(spark, folder):
     schema = read_table(spark, folder, "events").schema
     rows = message_rows(with_zoned_time(file_stream(spark, f"{folder}/events.parquet", schema)))
     lines = jobs.normalised(rows.select("ts", "value"))
-    sink = bucketed_text_sink(lines, f"{work}/out", f"{work}/checkpoint", "ts", files_per_bucket=1, interval=None)
+    sink = bucketed_text_sink(lines, f"{work}/out", f"{work}/checkpoint", "ts", files_per_bucket=4, interval=None)
     sink.start().awaitTermination()
     return spark.read.schema("value STRING, bucket STRING").text(f"{work}/out")

@@ -5,6 +5,8 @@ Windowed jobs put a watermark on the stream; on a static table it has no effect.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,15 +87,16 @@ def salted_counts(
     """J3 (strict), J4 (not strict), J5 (``width="3 seconds"``): count records per salt key and window.
 
     The result has the JSON text ``{"key", "count"}`` in ``value`` next to typed columns. The salt comes
-    from ``row_id`` if there is one, else from the text itself. A count does not look into the records:
-    strict lines are only checked, and the others, all of which count, are not even parsed.
+    from ``row_id`` if there is one, else from the text itself. Strict lines are checked; of the others all
+    count, and ``bad`` says how many of them are no JSON object and so stand as ``{"line"}``.
     """
     salt = salt_key(row_id) if row_id else hashed_salt_key(F.col("value"))
     stamp = now_millis() if now_ms is None else now_ms
     records = lines.withColumns({"salt": salt, "event_time": event_time(stamp)}).withWatermark("event_time", delay)
+    records = js.with_json_object(records)
     if strict:
-        records = js.with_json_object(records).filter(js.is_checked_object())
-    return window_counts(records, "event_time", "salt", width)
+        return window_counts(records.filter(js.is_checked_object()), "event_time", "salt", width)
+    return window_counts(records, "event_time", "salt", width, bad=F.count_if(F.col("obj").isNull()))
 
 
 def normalised(lines: DataFrame) -> DataFrame:
@@ -104,8 +107,9 @@ def normalised(lines: DataFrame) -> DataFrame:
 
 def telemetry(spark: SparkSession, rows: DataFrame, width: str = "1 minute", delay: str = DEVICE_DELAY) -> DataFrame:
     """J7."""
-    register(rows.withWatermark("rowtime", delay), "telemetry_rows")
-    return telemetry_report(spark, "telemetry_rows", width)
+    view = f"telemetry_{uuid.uuid4().hex}"
+    register(rows.withWatermark("rowtime", delay), view)
+    return telemetry_report(spark, view, width)
 
 
 def offset_report(spark: SparkSession, path: str, strict: bool = True) -> dict[str, DataFrame]:

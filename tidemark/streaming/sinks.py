@@ -70,12 +70,14 @@ def bucketed_text_sink(
 
     By the clock, a micro-batch writes to one hour. By a time column each task may write to many;
     ``files_per_bucket`` then brings the rows of an hour together in that many tasks, so that there
-    are fewer files and no single task gets a whole busy hour.
+    are fewer files and no single task gets a whole busy hour. The task goes by a hash of all columns of ``df``,
+    so equal texts are spread as far as their rows differ.
     """
-    lines = with_bucket(df, time).select("bucket", "value")
+    lines = with_bucket(df, time)
     if files_per_bucket:
-        part = F.pmod(F.xxhash64("value"), F.lit(files_per_bucket))
-        lines = lines.withColumn("__part", part).repartition("bucket", "__part").drop("__part")
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
+        lines = lines.withColumn("__part", part).repartition("bucket", "__part")
+    lines = lines.select("bucket", "value")
     return _writer(lines, checkpoint, "append", interval).format("text").option("path", path).partitionBy("bucket")
 
 
