@@ -19,6 +19,7 @@ from tidemark.streaming.sinks import (
     kafka_sink,
     latest_rows,
     memory_sink,
+    latest_snapshot,
     snapshot_sink,
 )
 
@@ -69,7 +70,8 @@ def test_changelog_and_snapshot_lead_to_the_same_result(spark, tmp_path):
     assert changes.select("batch_id").distinct().count() == 3
     expected = windows(jobs.device_last_values(rows(spark, DEVICE_ROWS, DEVICE_SCHEMA)))
     assert windows(latest_rows(changes, "win_start", "key")) == expected
-    assert windows(spark.read.parquet(str(tmp_path / "whole"))) == expected
+    assert windows(latest_snapshot(spark.read.parquet(str(tmp_path / "whole")))) == expected
+    assert sorted(p.name for p in (tmp_path / "whole").glob("batch_id=*")) == ["batch_id=1", "batch_id=2"]
 
 
 def test_memory_and_console(spark, tmp_path):

@@ -110,6 +110,12 @@ def test_batches_carry_the_last_emission_over_restarts(spark, tmp_path):
     kept = emitted_rows(spark, out)
     assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
     assert sorted(kept.columns) == ["id", "k", "ms", "wait"]
+    assert sorted(p.name for p in (tmp_path / "out" / "last").glob("batch_id=*")) == ["batch_id=1", "batch_id=2"]
+
+
+def test_rows_without_a_wait_are_not_emitted(spark):
+    df = spark.createDataFrame([("a", 1, None, 1), ("a", 5, 10, 2)], SCHEMA)
+    assert [r.id for r in throttle(df, "k", "ms", F.col("wait"), "id").collect()] == [2]
 
 
 def test_stream_with_expiring_state(spark, tmp_path):

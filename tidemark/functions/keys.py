@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timing import as_column
 
+# Fixed values.
 SALT_PREFIX = "groupKey_"
 SALT_COUNT = 5
 

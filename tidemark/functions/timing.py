@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Watermark delays of the jobs: device time, and time stamped on arrival.
+# Watermark delays of the jobs, for device time and for time stamped on arrival.
 DEVICE_DELAY = "1 minute"
 STAMPED_DELAY = "5 seconds"
 

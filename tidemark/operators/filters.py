@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from tidemark.functions.timing import as_column, now_millis
 
+# Fixed values.
 MAX_AHEAD_MS = 10 * 60 * 1000
 
 

@@ -56,7 +56,7 @@ def throttle(
     """The rows of ``df`` that are emitted.
 
     ``row_id`` is a unique bigint in arrival order: it decides between rows of one millisecond. Rows
-    without a time are never emitted.
+    without a time or a wait are never emitted.
     ``wait_ms`` may differ from row to row (K5: a shorter wait for rows with a clock ahead).
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
@@ -69,7 +69,7 @@ def throttle(
         .agg(F.min(row_id).alias("id"))
         .withColumn("segment", F.floor(F.col("ms") / F.lit(segment_ms)))
         # The join below implies this filter; stated here, both uses of the shuffle are alike and share it.
-        .filter(F.col("key").isNotNull() & F.col("segment").isNotNull())
+        .filter(F.col("key").isNotNull() & F.col("segment").isNotNull() & F.col("wait").isNotNull())
     )
     hours = candidates.repartition("key", "segment")
     steps = hours.sortWithinPartitions("key", "segment", "ms", "id").mapInPandas(

@@ -26,7 +26,7 @@ from tidemark.sources.kafka import decode
 from tidemark.sources.tables import as_telemetry, read_table, with_zoned_time
 from tidemark.sources.text import read_lines, split_lines
 from tidemark.streaming.replay import file_stream, replay_to_end
-from tidemark.streaming.sinks import append_sink, bucketed_text_sink, changelog_sink, latest_rows, snapshot_sink
+from tidemark.streaming.sinks import append_sink, bucketed_text_sink, changelog_sink, latest_rows, latest_snapshot, snapshot_sink
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,7 +232,7 @@ def stream_salted_snapshot_1h(spark, folder):
     rows = with_zoned_time(file_stream(spark, f"{folder}/events.parquet", schema))
     counts = window_counts(rows, "ts", salt_key("event_id"), "1 hour")
     snapshot_sink(counts, f"{work}/out", f"{work}/checkpoint", None).start().awaitTermination()
-    return zoneless(spark.read.parquet(f"{work}/out"))
+    return zoneless(latest_snapshot(spark.read.parquet(f"{work}/out")))
 
 
 # --- JSON (P1-P4, P7) ------------------------------------------------------------------------
@@ -358,6 +358,16 @@ def stream_job_tolerant_counts_1m(spark, folder):
     return zoneless(replay_to_end(spark, f"{folder}/events.parquet", schema, "ts", counts))
 
 
+@query("stream_job_strict_counts_3s", salted_sql("3 seconds"))
+def stream_job_strict_counts_3s(spark, folder):
+    def counts(rows):
+        lines = with_zoned_time(rows).withColumn("value", F.col("props"))
+        return jobs.salted_counts(lines, "3 seconds", row_id="event_id", now_ms=epoch_millis("ts"))
+
+    schema = read_table(spark, folder, "events").schema
+    return zoneless(replay_to_end(spark, f"{folder}/events.parquet", schema, "ts", counts, end_text="{}"))
+
+
 # --- Times and keys (P8-P10, P16, G1) -----------------------------------------------------------
 
 

@@ -18,6 +18,7 @@ from tidemark.operators.filters import is_ahead
 from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, report_lines, topic_stats
 from tidemark.operators.throttle import throttle
 from tidemark.operators.windows import last_value_windows, telemetry_report, window_counts
+from tidemark.session import scratch_dir
 from tidemark.sources.tables import register
 from tidemark.sources.text import read_lines
 from tidemark.streaming.throttle import throttle_stream
@@ -113,8 +114,11 @@ def telemetry(spark: SparkSession, rows: DataFrame, width: str = "1 minute", del
 
 
 def offset_report(spark: SparkSession, path: str, strict: bool = True) -> dict[str, DataFrame]:
-    """The ranges of a text file and what they tell."""
-    return describe_offsets(parse_offset_lines(read_lines(spark, path), strict=strict))
+    """The ranges of a text file and what they tell. The file is parsed once, into a table that all outputs read."""
+    ranges = parse_offset_lines(read_lines(spark, path), strict=strict)
+    folder = scratch_dir(spark, "ranges")
+    ranges.write.parquet(folder)
+    return describe_offsets(spark.read.schema(ranges.schema).parquet(folder))
 
 
 def describe_offsets(ranges: DataFrame) -> dict[str, DataFrame]:

@@ -49,6 +49,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shared_parent(named: str | None, master: str) -> str:
     """Only a local session may go without a named folder: a machine-local one is lost with its executor."""
     if named:

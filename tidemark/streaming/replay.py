@@ -31,13 +31,14 @@ def replay_to_end(
     time: str,
     transform: Callable[[DataFrame], DataFrame],
     files_per_batch: int | None = None,
+    end_text: str = "",
 ) -> DataFrame:
     """Run a windowed transform in append mode over all of ``path`` and return every window.
 
     Append mode holds back the windows that the watermark has not passed. So after the data a second
     run from the same checkpoint reads one row from the end of time, which lets all of them out; its own
     window stays behind. State is dropped window by window, unlike in complete mode. ``transform``
-    sets the watermark and should not fail on empty texts and zeros, which fill that row.
+    sets the watermark and should not fail on ``end_text`` and zeros, which fill that row.
     """
     work = scratch_dir(spark, "replay")
     end_path, out, checkpoint = f"{work}/end", f"{work}/out", f"{work}/checkpoint"
@@ -49,15 +50,15 @@ def replay_to_end(
         append_sink(transform(source), out, checkpoint, interval=None).start().awaitTermination()
 
     run()
-    spark.range(1).select(*[_end_value(f, time).alias(f.name) for f in schema.fields]).write.mode("append").parquet(end_path)
+    spark.range(1).select(*[_end_value(f, time, end_text).alias(f.name) for f in schema.fields]).write.mode("append").parquet(end_path)
     run()
     return spark.read.parquet(out)
 
 
-def _end_value(field, time: str):
+def _end_value(field, time: str, text: str):
     if isinstance(field.dataType, (TimestampType, TimestampNTZType)):
         return F.lit(END_OF_TIME).cast(field.dataType)
-    empty = "" if isinstance(field.dataType, StringType) else 0
+    empty = text if isinstance(field.dataType, StringType) else 0
     return F.lit(empty).cast(field.dataType)
 
 

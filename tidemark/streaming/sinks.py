@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemark.session import drop_folder
+
 # Checkpoint and bucket-check intervals, and the name of an hourly bucket.
 CHECKPOINT_INTERVAL = "10 seconds"
 BUCKET_INTERVAL = "5 seconds"
@@ -106,13 +108,21 @@ def latest_rows(changelog: DataFrame, *keys: str) -> DataFrame:
     return changelog.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
 
 
+def latest_snapshot(snapshots: DataFrame) -> DataFrame:
+    """The newest of the results in the folder of a snapshot sink."""
+    newest = snapshots.agg(F.max("batch_id").alias("newest")).first().newest
+    return snapshots.where(F.col("batch_id") == newest).drop("batch_id")
+
+
 def snapshot_sink(df: DataFrame, path: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL) -> DataStreamWriter:
-    """K6 as a whole: each micro-batch replaces the full result.
+    """K6 as a whole: each micro-batch writes the full result to a folder of its own; read with :func:`latest_snapshot`.
 
-    State and output are the full result, so this is for results that stay small.
+    The last two stay, so a reader always finds a whole one. State and output are the full result (complete mode keeps
+    all of it), so this is for results that stay small.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        drop_folder(batch.sparkSession, f"{path}/batch_id={batch_id - 2}")
 
     return batch_writer(df, checkpoint, "complete", interval, write)

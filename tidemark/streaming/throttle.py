@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.keys import key_text
 from tidemark.functions.timing import as_column
 from tidemark.operators.throttle import throttle
+from tidemark.session import drop_folder
 from tidemark.streaming.sinks import CHECKPOINT_INTERVAL, batch_writer
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -109,7 +110,7 @@ def throttle_batches(
 ) -> DataStreamWriter:
     """X1 with its sink: emitted rows go to ``path/rows``, a folder per micro-batch.
 
-    ``path/last`` holds the last emission of each key after each micro-batch. A row can follow it if it is
+    ``path/last`` holds the last emission of each key after each of the last two micro-batches. A row can follow it if it is
     past its wait; all rows that can are then throttled as a table. A micro-batch that is run again
     starts from the state before it and replaces its own folders.
     """
@@ -135,6 +136,7 @@ def throttle_batches(
         last = last if known is None else last.unionByName(known)
         newest = last.groupBy("throttle_key").agg(F.max("last").alias("last"))
         newest.write.mode("overwrite").parquet(f"{path}/last/batch_id={batch_id}")
+        drop_folder(rows.sparkSession, f"{path}/last/batch_id={batch_id - 2}")
 
     return batch_writer(timed, checkpoint, "append", interval, write)
 
