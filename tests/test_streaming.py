@@ -11,6 +11,7 @@ from tidemark.sources.generator import generated_records, ticks
 from tidemark.sources.kafka import KAFKA_SCHEMA, checkpoint_path, decode, kafka_options, read_kafka, start_options
 from tidemark.sources.tables import DEVICE_SCHEMA, rows
 from tidemark.streaming.replay import file_stream, late_rows, replay_to_end
+from tidemark.streaming.throttle import emitted_rows
 from tidemark.streaming.sinks import (
     append_sink,
     bucketed_text_sink,
@@ -133,9 +134,8 @@ def test_strict_job_stops_at_a_bad_line(spark, tmp_path):
 
 def test_sampled_lines(spark, tmp_path):
     lines = kafka_rows(spark, tmp_path).filter("value <> 'bad'").withColumn("source", F.col("partition").cast("string"))
-    kept = jobs.sampled_lines(lines, "source", "row_id")
-    append_sink(kept, str(tmp_path / "out"), str(tmp_path / "c"), None).start().awaitTermination()
-    texts = [json.loads(r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    jobs.sampled_lines(lines, "source", "row_id", str(tmp_path / "out"), str(tmp_path / "c"), None).start().awaitTermination()
+    texts = [json.loads(r.value) for r in emitted_rows(spark, str(tmp_path / "out")).collect()]
     assert len(texts) == 2
     assert all(set(t) == {"a", "timeMillis"} for t in texts)
 

@@ -72,6 +72,45 @@ def test_plan_combines_rows_first_and_shares_the_shuffle(spark):
     assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") <= batch.LEVELS + 2
 
 
+@pytest.mark.parametrize("segment_ms", [7, 500, 3_600_000])
+def test_known_emissions_enter_the_walk(spark, segment_ms):
+    """Also in front of, within and behind the rows, and with waits longer than a segment."""
+    rows = some_rows(11, 1500, 60_000, [60, 10, 2_000])
+    last = {"hot": 20_011, "k0": -(10**7), "k1": 10**7, "k2": 31, "unseen": 5}
+    expected, state = [], dict(last)
+    for k, ms, wait, row_id in sorted(rows, key=lambda r: (r[0], r[1], r[3])):
+        if k not in state or ms - state[k] > wait:
+            state[k] = ms
+            expected.append(row_id)
+    known = spark.createDataFrame(list(last.items()), "key string, last bigint")
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = throttle(df, "k", "ms", F.col("wait"), "id", segment_ms=segment_ms, known=known)
+    assert sorted(r.id for r in kept.collect()) == sorted(expected)
+
+
+def test_known_emissions_join_no_row_by_its_key(spark):
+    known = spark.createDataFrame([("a", 1)], "key string, last bigint")
+    df = spark.createDataFrame(some_rows(1, 50, 5_000, [60]), SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = throttle(df, "k", "ms", 60, "id", known=known)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    raw = [line for line in plan.splitlines() if "Join" in line and "(k#" in line]
+    assert not raw and "Join LeftSemi, (id#" in plan
+
+
+def test_old_state_expires(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def run(stream):
+        return throttle_batches(stream, "k", "ms", 10, "id", out, str(tmp_path / "checkpoint"), None, expire_ms=100)
+
+    in_batches(spark, tmp_path, [[("a", 0, 10, 1), ("b", 50, 10, 2)], [("b", 120, 10, 3), ("b", 125, 10, 4)]], run)
+    assert {r.id for r in emitted_rows(spark, out).collect()} == {1, 2, 3}
+    assert {tuple(r) for r in spark.read.parquet(f"{out}/last/batch_id=1").collect()} == {("b", 120)}
+
+
 def in_batches(spark, tmp_path, batches, run):
     """One run per batch, all from one checkpoint."""
     source = tmp_path / "in"

@@ -14,6 +14,9 @@ one long walk. Here no task ever walks a whole key:
 4. Each hour, now knowing that, lists its own emissions, again side by side.
 5. The emitted row ids select the full rows.
 
+What is known from before, a last emission per key, enters the walk and the hour it lies in: no row is joined by its
+key alone, so a hot key stays spread over its hours.
+
 A step function is a pair of rising arrays ``edges`` and ``exits``: the first edge above the
 last emission before gives the exit; above all edges nothing is emitted and the time stays as it is.
 """
@@ -52,12 +55,14 @@ def throttle(
     wait_ms: int | Column,
     row_id: str,
     segment_ms: int = SEGMENT_MS,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of ``df`` that are emitted.
 
     ``row_id`` is a unique bigint in arrival order: it decides between rows of one millisecond. Rows
     without a time or a wait are never emitted.
     ``wait_ms`` may differ from row to row (K5: a shorter wait for rows with a clock ahead).
+    ``known`` has the last emission before all rows, as ``key`` (text), ``last``, one row per key.
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
     candidates = (
@@ -72,25 +77,47 @@ def throttle(
         .filter(F.col("key").isNotNull() & F.col("segment").isNotNull() & F.col("wait").isNotNull())
     )
     hours = candidates.repartition("key", "segment")
+    if known is not None:
+        within = known.select("key", F.floor(F.col("last") / F.lit(segment_ms)).alias("segment"), F.col("last").alias("known"))
+        past_wait = F.col("known").isNull() | (F.col("ms") - F.col("wait") > F.col("known"))
+        hours = hours.join(within, ["key", "segment"], "left").filter(past_wait).drop("known")
     steps = hours.sortWithinPartitions("key", "segment", "ms", "id").mapInPandas(
         partial(_segment_steps, segment_ms=segment_ms), _STEPS
     )
     emitted = (
-        hours.join(_entries(steps, segment_ms), ["key", "segment"])
+        hours.join(_entries(steps, segment_ms, known), ["key", "segment"])
         .sortWithinPartitions("key", "segment", "ms", "id")
         .mapInPandas(partial(_emissions, segment_ms=segment_ms), "id bigint")
     )
     return df.join(emitted.withColumnRenamed("id", row_id), row_id, "left_semi").select(*df.columns)
 
 
-def _entries(steps: DataFrame, segment_ms: int) -> DataFrame:
+def _after(steps: DataFrame, known: DataFrame, segment_ms: int) -> DataFrame:
+    """Steps without the segments before the known emission and without the edges that it has passed."""
+    joined = steps.join(known.select("key", F.col("last").alias("known")), "key", "left")
+    ahead = F.expr("filter(arrays_zip(edges, exits), step -> known is null or step.edges > known)")
+    return (
+        joined.filter(F.col("known").isNull() | (F.col("segment") >= F.floor(F.col("known") / F.lit(segment_ms))))
+        .select("key", "segment", ahead.alias("ahead"))
+        .filter(F.size("ahead") > 0)
+        .select("key", "segment", F.col("ahead.edges").alias("edges"), F.col("ahead.exits").alias("exits"))
+    )
+
+
+def _entries(steps: DataFrame, segment_ms: int, known: DataFrame | None = None) -> DataFrame:
     """The last emission before each segment."""
+    if known is not None:
+        steps = _after(steps, known, segment_ms)
     levels = [_under_parents(steps)]
     for level in range(1, LEVELS + 1):
         compose = partial(_compose_groups, span_ms=segment_ms * FAN_IN**level)
         parents = levels[-1].sortWithinPartitions("key", "parent", "segment").mapInPandas(compose, _STEPS)
         levels.append(_under_parents(parents) if level < LEVELS else parents)
-    top = levels.pop().withColumns({"parent": F.lit(0), "last": F.lit(NEVER)}).repartition("key")
+    top = levels.pop().withColumn("parent", F.lit(0)).repartition("key")
+    if known is None:
+        top = top.withColumn("last", F.lit(NEVER))
+    else:
+        top = top.join(known.select("key", "last"), "key", "left").fillna({"last": NEVER})
     entries = _walked(top)
     for children in reversed(levels):
         entries = _walked(children.join(entries.withColumnRenamed("segment", "parent"), ["key", "parent"]))

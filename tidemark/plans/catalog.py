@@ -25,7 +25,7 @@ from tidemark.sources.generator import generated_records
 from tidemark.sources.kafka import decode
 from tidemark.sources.tables import as_telemetry, read_table, with_zoned_time
 from tidemark.sources.text import read_lines, split_lines
-from tidemark.streaming.replay import file_stream, replay_to_end
+from tidemark.streaming.replay import file_stream, replay_runs, replay_slices, replay_to_end, time_slices
 from tidemark.streaming.sinks import append_sink, bucketed_text_sink, changelog_sink, latest_rows, latest_snapshot, snapshot_sink
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
@@ -50,6 +50,11 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return with_zoned_time(read_table(spark, folder, "events"))
 
 
+def event_slices(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The events in three spans of time, each a micro-batch or more of its own in a replay."""
+    return time_slices(read_table(spark, folder, "events"), "ts", 3)
+
+
 def zoneless(df: DataFrame) -> DataFrame:
     """Times as they compare with other engines."""
     times = [name for name, dtype in df.dtypes if dtype == "timestamp"]
@@ -107,9 +112,11 @@ def stream_telemetry_1m_append(spark, folder):
 @query("stream_telemetry_1h_changelog", telemetry_sql("1 hour"))
 def stream_telemetry_1h_changelog(spark, folder):
     work = scratch_dir(spark, "changelog")
-    schema = read_table(spark, folder, "events").schema
-    rows = as_telemetry(file_stream(spark, f"{folder}/events.parquet", schema))
-    changelog_sink(jobs.telemetry(spark, rows, "1 hour"), f"{work}/out", f"{work}/checkpoint", None).start().awaitTermination()
+
+    def changes(rows):
+        return changelog_sink(jobs.telemetry(spark, as_telemetry(rows), "1 hour"), f"{work}/out", f"{work}/checkpoint", None)
+
+    replay_runs(spark, event_slices(spark, folder), changes)
     return rounded_report(latest_rows(spark.read.parquet(f"{work}/out"), "asset_id", "win_start"))
 
 
@@ -170,9 +177,32 @@ def device_last_values_1m(spark, folder):
 
 @query("stream_device_last_values_1m", DEVICE_SQL)
 def stream_device_last_values_1m(spark, folder):
-    schema = read_table(spark, folder, "events").schema
-    path = f"{folder}/events.parquet"
-    return zoneless(replay_to_end(spark, path, schema, "ts", lambda rows: jobs.device_last_values(as_devices(rows))))
+    slices = event_slices(spark, folder)
+    return zoneless(replay_slices(spark, slices, lambda rows: jobs.device_last_values(as_devices(rows))))
+
+
+LATE_DELAY = "1 day"
+
+
+@query(
+    "stream_late_rows",
+    f"""with r as (select *, event_id % 7 = 0 late from events), w as (select max(ts) filter (where not late) top from r)
+        select time_bucket(interval '1 hour', ts) win_start, count(*) cnt, count_if(late) cnt_late from r, w
+        where not late or time_bucket(interval '1 hour', ts) + interval '1 hour' > date_trunc('millisecond', top) - interval '{LATE_DELAY}'
+        group by 1""",
+)
+def stream_late_rows(spark, folder):
+    """One row in seven comes after all others: it counts only if its window is still open."""
+    late = F.col("event_id") % 7 == 0
+
+    def counts(rows):
+        timed = with_zoned_time(rows).withWatermark("ts", LATE_DELAY)
+        hour = F.window("ts", "1 hour")
+        return timed.groupBy(hour).agg(F.count("*").alias("cnt"), F.count_if(late).alias("cnt_late"))
+
+    rows = read_table(spark, folder, "events")
+    slices = [*time_slices(rows.filter(~late), "ts", 2), rows.filter(late)]
+    return zoneless(replay_slices(spark, slices, counts).select(F.col("window.start").alias("win_start"), "cnt", "cnt_late"))
 
 
 # --- Salted counts (G2, W1, W2, A2, P7) -------------------------------------------------------
@@ -221,8 +251,7 @@ def stream_salted_total_1h(spark, folder):
     def totals(rows):
         return window_totals(with_zoned_time(rows).withWatermark("ts", "1 minute"), "ts", salt_key("event_id"), "1 hour")
 
-    schema = read_table(spark, folder, "events").schema
-    return zoneless(replay_to_end(spark, f"{folder}/events.parquet", schema, "ts", totals))
+    return zoneless(replay_slices(spark, event_slices(spark, folder), totals))
 
 
 @query("stream_salted_snapshot_1h", salted_sql("1 hour"))
@@ -558,21 +587,30 @@ def sample_ahead(spark, folder):
     return kept.select(F.col("event_type").alias("key"), "event_id")
 
 
-def throttle_source(spark: SparkSession, folder: str) -> DataFrame:
-    schema = read_table(spark, folder, "events").schema
-    rows = with_zoned_time(file_stream(spark, f"{folder}/events.parquet", schema))
-    return rows.select("event_type", "user_id", "ts", "event_id")
-
-
 @query("stream_throttle_10m", THROTTLE_SQL)
 def stream_throttle_10m(spark, folder):
     """Few keys, so each micro-batch is throttled as a table."""
     work = scratch_dir(spark, "throttle")
-    sink = throttle_batches(
-        throttle_source(spark, folder), "event_type", epoch_millis("ts"), TEN_MINUTES_MS, "event_id",
-        f"{work}/out", f"{work}/checkpoint", None,
-    )
-    sink.start().awaitTermination()
+
+    def kept(rows):
+        rows = with_zoned_time(rows).select("event_type", "ts", "event_id")
+        out, checkpoint = f"{work}/out", f"{work}/checkpoint"
+        return throttle_batches(rows, "event_type", epoch_millis("ts"), TEN_MINUTES_MS, "event_id", out, checkpoint, None)
+
+    replay_runs(spark, event_slices(spark, folder), kept)
+    return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id")
+
+
+@query("stream_sample_ahead", SAMPLE_SQL)
+def stream_sample_ahead(spark, folder):
+    work = scratch_dir(spark, "sample")
+
+    def kept(rows):
+        rows = with_zoned_time(rows).select("event_type", "ts", "event_id", "props")
+        out, checkpoint = f"{work}/out", f"{work}/checkpoint"
+        return jobs.sample_stream(rows, "event_type", device_ms(), epoch_millis("ts"), "event_id", out, checkpoint, None)
+
+    replay_runs(spark, event_slices(spark, folder), kept)
     return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id")
 
 
@@ -580,9 +618,13 @@ def stream_throttle_10m(spark, folder):
 def stream_throttle_user_10m(spark, folder):
     """Many keys, with state per key."""
     work = scratch_dir(spark, "throttle")
-    rows = throttle_source(spark, folder)
-    kept = throttle_stream(rows, "user_id", epoch_millis("ts"), TEN_MINUTES_MS, "event_id").select("key", "event_id")
-    append_sink(kept, f"{work}/out", f"{work}/checkpoint", None).start().awaitTermination()
+
+    def kept(rows):
+        rows = with_zoned_time(rows).select("user_id", "ts", "event_id")
+        first = throttle_stream(rows, "user_id", epoch_millis("ts"), TEN_MINUTES_MS, "event_id").select("key", "event_id")
+        return append_sink(first, f"{work}/out", f"{work}/checkpoint", None)
+
+    replay_runs(spark, event_slices(spark, folder), kept)
     return spark.read.parquet(f"{work}/out")
 
 

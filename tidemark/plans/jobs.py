@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions import json as js
 from tidemark.functions.keys import hashed_salt_key, salt_key
@@ -21,7 +22,8 @@ from tidemark.operators.windows import last_value_windows, telemetry_report, win
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import register
 from tidemark.sources.text import read_lines
-from tidemark.streaming.throttle import throttle_stream
+from tidemark.streaming.sinks import CHECKPOINT_INTERVAL
+from tidemark.streaming.throttle import throttle_batches
 
 # The waits of the sampling sink and the field that holds the stamp.
 SAMPLE_WAIT_MS = 60_000
@@ -63,18 +65,31 @@ def sample_table(records: DataFrame, key: str | Column, time_ms: Column, now_ms:
     return throttle(records, key, now_ms, sampling_waits(time_ms, now_ms), row_id)
 
 
-def sample_stream(records: DataFrame, key: str | Column, time_ms: Column, now_ms: Column, row_id: str) -> DataFrame:
-    """J2 over a stream."""
-    return throttle_stream(records, key, now_ms, sampling_waits(time_ms, now_ms), row_id)
-
-
-def sampled_lines(lines: DataFrame, source: str, row_id: str) -> DataFrame:
-    """J2 from text: parse strictly, stamp with the clock, sample per ``source``, write as JSON text."""
+def sample_stream(
+    records: DataFrame,
+    key: str | Column,
+    time_ms: Column,
+    now_ms: Column,
+    row_id: str,
+    path: str,
+    checkpoint: str,
+    interval: str | None = CHECKPOINT_INTERVAL,
+) -> DataStreamWriter:
+    """J2 over a stream, with its sink; read with ``emitted_rows``. The keys are few by nature, so it takes the form that
+    spreads a key."""
+    waits = sampling_waits(time_ms, now_ms)
+    return throttle_batches(records, key, now_ms, waits, row_id, path, checkpoint, interval)
+
+
+def sampled_lines(
+    lines: DataFrame, source: str, row_id: str, path: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL
+) -> DataStreamWriter:
+    """J2 from text: parse strictly, stamp with the clock, sample per ``source``, write as JSON text in ``value``."""
     records = stamped(lines.select("value", source, row_id), strict=True).select(
         source, row_id, "stamp_ms", F.to_json("fields").alias("value")
     )
     now = F.col("stamp_ms")
-    return sample_stream(records, source, now, now, row_id)
+    return sample_stream(records, source, now, now, row_id, path, checkpoint, interval)
 
 
 def salted_counts(

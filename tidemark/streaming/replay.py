@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
 
 from tidemark.session import scratch_dir
@@ -50,12 +51,47 @@ def replay_to_end(
         append_sink(transform(source), out, checkpoint, interval=None).start().awaitTermination()
 
     run()
-    spark.range(1).select(*[_end_value(f, time, end_text).alias(f.name) for f in schema.fields]).write.mode("append").parquet(end_path)
+    _end_row(spark, schema, end_text).write.mode("append").parquet(end_path)
     run()
     return spark.read.parquet(out)
 
 
-def _end_value(field, time: str, text: str):
+def time_slices(rows: DataFrame, time: str, count: int) -> list[DataFrame]:
+    """``rows`` cut at equal steps of time; rows without a time come first."""
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    begin, end = rows.agg(F.min(at), F.max(at)).first()
+    if begin is None:
+        return [rows]
+    cuts = [begin + (end - begin) * i // count for i in range(1, count)]
+    number = sum((F.when(at >= cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    return [rows.filter(number == i) for i in range(count)]
+
+
+def replay_runs(spark: SparkSession, slices: list[DataFrame], sink: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """Give one slice after another to a stream. ``sink`` is started anew for each, and goes on from its checkpoint."""
+    source, schema = scratch_dir(spark, "slices"), slices[0].schema
+    for rows in slices:
+        rows.write.mode("append").parquet(source)
+        sink(file_stream(spark, source, schema)).start().awaitTermination()
+
+
+def replay_slices(
+    spark: SparkSession, slices: list[DataFrame], transform: Callable[[DataFrame], DataFrame], end_text: str = ""
+) -> DataFrame:
+    """As :func:`replay_to_end`, with the rows in micro-batches of their own: a row that is late for the watermark of the
+    slices before its own is dropped (L1)."""
+    work = scratch_dir(spark, "replay")
+    end = _end_row(spark, slices[0].schema, end_text)
+    sink = lambda rows: append_sink(transform(rows), f"{work}/out", f"{work}/checkpoint", interval=None)
+    replay_runs(spark, [*slices, end], sink)
+    return spark.read.parquet(f"{work}/out")
+
+
+def _end_row(spark: SparkSession, schema: StructType, text: str) -> DataFrame:
+    return spark.range(1).select(*[_end_value(f, text).alias(f.name) for f in schema.fields])
+
+
+def _end_value(field, text: str):
     if isinstance(field.dataType, (TimestampType, TimestampNTZType)):
         return F.lit(END_OF_TIME).cast(field.dataType)
     empty = text if isinstance(field.dataType, StringType) else 0

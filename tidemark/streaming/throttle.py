@@ -107,12 +107,14 @@ def throttle_batches(
     path: str,
     checkpoint: str,
     interval: str | None = CHECKPOINT_INTERVAL,
+    expire_ms: int | None = None,
 ) -> DataStreamWriter:
     """X1 with its sink: emitted rows go to ``path/rows``, a folder per micro-batch.
 
-    ``path/last`` holds the last emission of each key after each of the last two micro-batches. A row can follow it if it is
-    past its wait; all rows that can are then throttled as a table. A micro-batch that is run again
-    starts from the state before it and replaces its own folders.
+    ``path/last`` holds the last emission of each key after each of the last two micro-batches; the rows are throttled as a
+    table that starts from it. A micro-batch that is run again starts from the state before it and replaces its own
+    folders. ``expire_ms`` forgets keys whose last emission is that much older than the newest of all: choose it above
+    the longest wait and the disorder of the rows. Without it the state has a row per key ever seen.
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
     timed = df.withColumns(
@@ -128,13 +130,18 @@ def throttle_batches(
         known = None
         if batch_id > 0:
             known = read.parquet(f"{path}/last/batch_id={batch_id - 1}")
-            past_wait = F.col("last").isNull() | (F.col("throttle_ms") - F.col("throttle_wait") > F.col("last"))
-            rows = rows.join(known, "throttle_key", "left").filter(past_wait).drop("last")
-        emitted = throttle(rows, "throttle_key", "throttle_ms", F.col("throttle_wait"), row_id)
+        kept = rows.persist()  # read by the walk and by the selection of its rows
+        emitted = throttle(kept, "throttle_key", "throttle_ms", F.col("throttle_wait"), row_id, known=known)
         emitted.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        last = read.parquet(f"{path}/rows/batch_id={batch_id}").select("throttle_key", F.col("throttle_ms").alias("last"))
+        kept.unpersist()
+        last = read.parquet(f"{path}/rows/batch_id={batch_id}").select(
+            F.col("throttle_key").alias("key"), F.col("throttle_ms").alias("last")
+        )
         last = last if known is None else last.unionByName(known)
-        newest = last.groupBy("throttle_key").agg(F.max("last").alias("last"))
+        newest = last.groupBy("key").agg(F.max("last").alias("last"))
+        if expire_ms is not None:
+            end = last.agg(F.max("last")).first()[0]
+            newest = newest.filter(F.col("last") >= F.lit(end) - expire_ms)
         newest.write.mode("overwrite").parquet(f"{path}/last/batch_id={batch_id}")
         drop_folder(rows.sparkSession, f"{path}/last/batch_id={batch_id - 2}")
 
