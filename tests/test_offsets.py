@@ -107,6 +107,16 @@ def test_bad_values(spark, bad, lenient):
         parse(spark, bad).collect()
 
 
+def test_plain_lines_are_read_as_the_rules_say(spark):
+    """A trailing separator takes a line off the plain path without changing what it says."""
+    lines = [line(0, 0, 0), line(999999999, 10**18 - 1, 1, "é-t_1."), line("007", "09", "010"), line(3, 5, 2, "to")]
+    plain, ruled = (values(parse(spark, "\n".join(x + end for x in lines))) for end in ("", "    "))
+    assert plain == ruled and plain[1] == ("é-t_1.", 999999999, 10**18 - 1, 1, 2 - 10**18)
+    # One digit more than the plain path takes.
+    wide = [line(1000000000, 1, 2), line(1, 10**18, 10**18 + 1)]
+    assert [v[1:3] for v in values(parse(spark, "\n".join(wide)))] == [(1000000000, 1), (1, 10**18)]
+
+
 def test_average_is_cut_towards_zero(spark):
     ranges = parse(spark, "\n".join([line(1, 10, 5), line(2, 10, 8)]))
     assert topic_stats(ranges).first().avg_delta == -3

@@ -16,7 +16,7 @@ from tidemark.functions.keys import key_by, key_text, salt_key
 from tidemark.functions.offset_lines import parse_offset_lines, range_text, to_offset_line
 from tidemark.functions.timing import epoch_millis, from_millis, time_of_day_text
 from tidemark.operators.filters import future_rows
-from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, report_lines, topic_stats
+from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, topic_stats
 from tidemark.operators.throttle import throttle
 from tidemark.operators.windows import last_value_windows, window_counts, window_totals
 from tidemark.plans import jobs
@@ -527,7 +527,8 @@ def offset_ranges_by_topic(spark, folder):
         union all select topic, 3, rank, chr(9) || '最小Delta ' || delta || ' : ' || from_offset || ' -> ' || until_offset || ' = ' || delta from l""",
 )
 def offset_report(spark, folder):
-    return report_lines(offset_ranges(spark, folder))
+    """The ranges are parsed once, into a table that all sections read, as in J8."""
+    return jobs.describe_offsets(jobs.kept_ranges(offset_ranges(spark, folder)))["report"]
 
 
 # --- Clock skew and sampling (F5, X1, K5) --------------------------------------------------------

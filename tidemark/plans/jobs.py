@@ -130,10 +130,14 @@ def telemetry(spark: SparkSession, rows: DataFrame, width: str = "1 minute", del
 
 def offset_report(spark: SparkSession, path: str, strict: bool = True) -> dict[str, DataFrame]:
     """The ranges of a text file and what they tell. The file is parsed once, into a table that all outputs read."""
-    ranges = parse_offset_lines(read_lines(spark, path), strict=strict)
-    folder = scratch_dir(spark, "ranges")
+    return describe_offsets(kept_ranges(parse_offset_lines(read_lines(spark, path), strict=strict)))
+
+
+def kept_ranges(ranges: DataFrame) -> DataFrame:
+    """The ranges as a written table, so that their text is parsed once."""
+    folder = scratch_dir(ranges.sparkSession, "ranges")
     ranges.write.parquet(folder)
-    return describe_offsets(spark.read.schema(ranges.schema).parquet(folder))
+    return ranges.sparkSession.read.schema(ranges.schema).parquet(folder)
 
 
 def describe_offsets(ranges: DataFrame) -> dict[str, DataFrame]:
