@@ -132,6 +132,24 @@ def test_strict_job_stops_at_a_bad_line(spark, tmp_path):
         changelog_sink(counts, str(tmp_path / "out"), str(tmp_path / "c"), None).start().awaitTermination()
 
 
+def test_folded_changelog_leads_to_the_same_result(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i, row in enumerate(DEVICE_ROWS):
+        write(spark, source, [row])
+        stream = file_stream(spark, str(source), rows(spark, [], DEVICE_SCHEMA).schema)
+        result = jobs.last_value_windows(stream, "device", "ts", "production", "seq")
+        for name, keys in (("whole", ()), ("folded", ("win_start", "key"))):
+            sink = changelog_sink(result, str(tmp_path / name), str(tmp_path / f"{name}-c"), None, keys=keys, fold_every=3)
+            sink.start().awaitTermination()
+        if i == 6:
+            break
+    assert len(list((tmp_path / "whole").glob("batch_id=*"))) == 7
+    assert sorted(p.name for p in (tmp_path / "folded").glob("batch_id=*")) == ["batch_id=5", "batch_id=6"]
+    whole, folded = (latest_rows(spark.read.parquet(str(tmp_path / n)), "win_start", "key").collect() for n in ("whole", "folded"))
+    assert whole and sorted(map(repr, whole)) == sorted(map(repr, folded))
+
+
 def test_sampled_lines(spark, tmp_path):
     lines = kafka_rows(spark, tmp_path).filter("value <> 'bad'").withColumn("source", F.col("partition").cast("string"))
     jobs.sampled_lines(lines, "source", "row_id", str(tmp_path / "out"), str(tmp_path / "c"), None).start().awaitTermination()

@@ -114,7 +114,8 @@ def stream_telemetry_1h_changelog(spark, folder):
     work = scratch_dir(spark, "changelog")
 
     def changes(rows):
-        return changelog_sink(jobs.telemetry(spark, as_telemetry(rows), "1 hour"), f"{work}/out", f"{work}/checkpoint", None)
+        report = jobs.telemetry(spark, as_telemetry(rows), "1 hour")
+        return changelog_sink(report, f"{work}/out", f"{work}/checkpoint", None, keys=("asset_id", "win_start"), fold_every=2)
 
     replay_runs(spark, event_slices(spark, folder), changes)
     return rounded_report(latest_rows(spark.read.parquet(f"{work}/out"), "asset_id", "win_start"))

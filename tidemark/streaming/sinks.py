@@ -7,8 +7,10 @@ progress: a query restarted with the same one goes on where it stopped (X2, S4).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -19,6 +21,9 @@ CHECKPOINT_INTERVAL = "10 seconds"
 BUCKET_INTERVAL = "5 seconds"
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 
+# Micro-batches after which a changelog is folded.
+FOLD_EVERY = 100
+
 
 def _writer(df: DataFrame, checkpoint: str, mode: str, interval: str | None) -> DataStreamWriter:
     """``interval=None`` takes what is there now and ends; otherwise the query runs on."""
@@ -89,19 +94,39 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, interval: str | None
 
 
 def changelog_sink(
-    df: DataFrame, path: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = CHECKPOINT_INTERVAL,
+    keys: tuple[str, ...] = (),
+    fold_every: int = FOLD_EVERY,
 ) -> DataStreamWriter:
     """K6: every change of the result, a folder per micro-batch; read with :func:`latest_rows`.
 
-    A micro-batch that is run again replaces its own folder.
+    A micro-batch that is run again replaces its own folder. Given the ``keys`` of the result, every ``fold_every``
+    micro-batches the older folders are folded into one, so the log stays about as long as the result.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if keys and batch_id > 1 and batch_id % fold_every == 0:
+            _fold(batch.sparkSession, path, keys, batch_id - 1)
 
     return batch_writer(df, checkpoint, "update", interval, write)
 
 
+def _fold(spark: SparkSession, path: str, keys: tuple[str, ...], last: int) -> None:
+    """Add to the folder of batch ``last``, which is never run again, the newest rows of keys that it lacks, and remove
+    the older folders. At each step a reader finds the newest row of every key."""
+    log = spark.read.parquet(path)
+    older, newer = log.filter(F.col("batch_id") < last), log.filter(F.col("batch_id") == last).select(*keys)
+    same = reduce(and_, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+    rest = latest_rows(older, *keys).alias("o").join(newer.alias("n"), same, "left_anti")
+    rest.write.mode("append").parquet(f"{path}/batch_id={last}")
+    for row in older.select("batch_id").distinct().collect():
+        drop_folder(spark, f"{path}/batch_id={row.batch_id}")
+
+
 def latest_rows(changelog: DataFrame, *keys: str) -> DataFrame:
     """The result that a changelog leads to: the newest row of each key."""
     rest = [c for c in changelog.columns if c not in (*keys, "batch_id")]
