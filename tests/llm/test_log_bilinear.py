@@ -86,3 +86,37 @@ def test_noise_contrastive_steps_learn_a_rule():
     after = lb.nce_steps(start, size, triples, n, noise, 400, 1)
     before, now = (10.0 ** lb.log_probabilities(p, size)[triples].astype(float) for p in (start, after))
     assert now.mean() > 0.8 > before.mean()
+
+
+def test_a_pass_takes_every_triple_with_its_whole_count():
+    n = np.array([1] * 5000 + [10**9, 3])
+    order, weights = lb.shares_of(n, 1000, np.random.default_rng(1))
+    assert np.bincount(order, weights, len(n)) == pytest.approx(n)
+    assert len(order) <= len(n) + 1000 and weights.max() <= n.sum() / 1000
+    # A triple that one in 10**9 draws would meet leaves its mark on its own context's vector.
+    size = 8
+    triples = np.array([(1 * size + 1) * size + 2, (4 * size + 5) * size + 3])
+    start = lb.initial(lb.Classes((b"a", b"b", b"c", b"d", b"e"), ()), np.ones(size - 1))
+    after = lb.nce_steps(start, size, triples, np.array([10**9, 1]), np.full(size, 1 / size), 2, 1)
+    moved = (lb._parts(after, size)[0] != lb._parts(start, size)[0]).any(axis=1)
+    assert moved.tolist() == [i in (1, 4, 5) for i in range(size)]
+
+
+def test_steps_tasks_and_top_words_grow(spark, monkeypatch):
+    monkeypatch.setattr(lb, "STEPS", 2)
+    monkeypatch.setattr(lb, "ROUNDS", 1)
+    monkeypatch.setattr(lb, "TOP_WORDS", 5)
+    texts = spark.createDataFrame([(" ".join(f"w{i * j % 997}" for j in range(300)),) for i in range(1, 40)], "text STRING")
+    model, counts = lb.learn(texts)
+    assert len(model.classes.words) == int(counts.count() ** 0.5) > 5
+
+
+def test_pair_tables_equal_the_plain_softmax():
+    size, rng = 7, np.random.default_rng(5)
+    params = rng.normal(0, 1, 2 * size * lb.WIDTH + 2 * lb.WIDTH + size)
+    context, target, scale, bias = lb._parts(params, size)
+    table = lb.log_probabilities(params, size).reshape(size, size, size)
+    for first in range(size):
+        for second in range(size):
+            p = np.exp(target @ (context[first] * scale[0] + context[second] * scale[1]) + bias)[: size - 1]
+            assert table[first, second, : size - 1] == pytest.approx(np.log10(p / p.sum()), abs=1e-4)

@@ -1,14 +1,16 @@
 """Language-model scores from a log-bilinear model trained with noise-contrastive estimation.
 
-Words fall into classes: the most frequent words are classes of their own, the rest go by their ending, and the end
-of a text is a class. The model predicts a class from the two before it: the context is a sum of their vectors, each
-scaled by its position, and a class scores by its product with the context plus a bias. A word has the probability of
-its class times its smoothed share of that class, so all words together, one never seen included, have probability 1.
+Words fall into classes: the most frequent words are classes of their own, more of them the larger the vocabulary is,
+the rest go by their ending, and the end of a text is a class. The model predicts a class from the two before it: the
+context is a sum of their vectors, each scaled by its position, and a class scores by its product with the context plus
+a bias. A word has the probability of its class times its smoothed share of that class, so all words together, one never
+seen included, have probability 1.
 
 Counts of words and of class triples are taken over all training text by Spark. Training runs in rounds on the table
-of triples: each task takes steps on its own part, and the parameters are averaged. As there are no more contexts
-than pairs of classes, batched matrix products give the normalised log-probabilities of all of them once in a worker,
-and scoring a text is looking them up.
+of triples: each task takes steps over all of its own part, every triple with its whole count, and the parameters are
+averaged; tasks and steps grow with the table. A score is a sum of two parts, one for each word of the context, so one
+matrix product gives the normalisers of all contexts once in a worker, and scoring a text is looking up three tables of
+pairs of classes.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +30,10 @@ from tidemark.llm.common import add_text_columns, id_crc32, runs_of, utf8, writt
 
 FOLDS, HELD_OUT = 10, 0
 SMOOTHING = 0.1
-TOP_WORDS, ENDINGS, ENDING = 120, 128, 2
+TOP_WORDS, ENDINGS, ENDING = 120, 128, 2  # of top words at least so many, and the square root of the number of words
 FREQUENT = 400_000  # a word with this share of all tokens or more is kept by the workers: there are no more such words
-WIDTH, NOISE, BATCH, STEPS, ROUNDS, PARTS = 24, 64, 2048, 250, 3, 6
+WIDTH, NOISE, BATCH, STEPS, ROUNDS, PARTS = 24, 64, 2048, 250, 3, 6  # steps and parts at least; both grow with the triples
+PART_TRIPLES = 1 << 20  # different triples in a part
 END = b" "  # the end of a text; no word holds a blank
 FLUSH = 200_000  # distinct words that a task counts before it passes them on
 
@@ -136,32 +140,49 @@ def _parts(params: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return params[:cut].reshape(size, WIDTH), params[cut : 2 * cut].reshape(size, WIDTH), params[2 * cut : 2 * cut + 2 * WIDTH].reshape(2, WIDTH), params[2 * cut + 2 * WIDTH :]
 
 
+def shares_of(n: np.ndarray, entries: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``n`` in random order, each at least once, and their weights, which add up to the counts.
+
+    A count above the ``entries``-th part of all is dealt over several entries, so there are at most ``len(n) + entries``.
+    """
+    pieces = np.maximum(1, np.ceil(n * (entries / n.sum()) - 1e-9)).astype(np.int64)
+    order = rng.permutation(np.repeat(np.arange(len(n)), pieces))
+    return order, (n / pieces)[order]
+
+
 def nce_steps(params: np.ndarray, size: int, triples: np.ndarray, n: np.ndarray, noise: np.ndarray, steps: int, seed: int, rate: float = 0.1) -> np.ndarray:
-    """Noise-contrastive steps (Adagrad): tell the class that came from ``NOISE`` classes drawn from ``noise``, shared by a batch."""
+    """One pass of noise-contrastive steps (Adagrad): tell the class that came from ``NOISE`` classes drawn from ``noise``, shared by a batch.
+
+    Every triple takes part with its whole count. There are ``steps`` steps for the mass and more by the number of triples.
+    """
     rng = np.random.default_rng(seed)
     params, squares = params.copy(), np.full(len(params), 1e-2)
     context, target, scale, bias = _parts(params, size)
-    chance, log_noise = np.cumsum(n) / n.sum(), np.log(NOISE * noise)
-    noise_sum = np.cumsum(noise)
-    for _ in range(steps):
-        pick = triples[np.searchsorted(chance, rng.random(BATCH)).clip(max=len(triples) - 1)]
+    entries, weights = shares_of(n, BATCH * steps, rng)
+    weights /= weights.mean()
+    log_noise, noise_sum, columns = np.log(NOISE * noise), np.cumsum(noise), np.arange(WIDTH)
+
+    def summed(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return np.bincount((rows[:, None] * WIDTH + columns).ravel(), values.ravel(), size * WIDTH).reshape(size, WIDTH)
+
+    for at in range(0, len(entries), BATCH):
+        pick, weight = triples[entries[at : at + BATCH]], weights[at : at + BATCH]
         first, second, own = pick // (size * size), pick // size % size, pick % size
         drawn = np.searchsorted(noise_sum, rng.random(NOISE)).clip(max=size - 1)
         a, b = context[first], context[second]
         h = a * scale[0] + b * scale[1]
         s = (h * target[own]).sum(axis=1) + bias[own] - log_noise[own]
         t = h @ target[drawn].T + bias[drawn] - log_noise[drawn]
-        up = 1 / (1 + np.exp(np.clip(s, -30, 30)))
-        down = -1 / (1 + np.exp(np.clip(-t, -30, 30)))
+        up = weight / (1 + np.exp(np.clip(s, -30, 30)))
+        down = -weight[:, None] / (1 + np.exp(np.clip(-t, -30, 30)))
         slope = np.zeros_like(params)
         to_context, to_target, to_scale, to_bias = _parts(slope, size)
         to_h = up[:, None] * target[own] + down @ target[drawn]
-        np.add.at(to_target, own, up[:, None] * h)
+        to_target += summed(own, up[:, None] * h)
         np.add.at(to_target, drawn, down.T @ h)
-        np.add.at(to_bias, own, up)
+        to_bias += np.bincount(own, up, size)
         np.add.at(to_bias, drawn, down.sum(axis=0))
-        np.add.at(to_context, first, to_h * scale[0])
-        np.add.at(to_context, second, to_h * scale[1])
+        to_context += summed(np.r_[first, second], np.r_[to_h * scale[0], to_h * scale[1]])
         to_scale[0], to_scale[1] = (to_h * a).sum(axis=0), (to_h * b).sum(axis=0)
         slope /= BATCH
         squares += slope * slope
@@ -174,6 +195,7 @@ def trained(triples: DataFrame, classes: Classes, mass: np.ndarray, rounds: int
     params = initial(classes, mass)
     noise = np.exp(_parts(params, classes.size)[3])
     size = classes.size
+    parts = max(PARTS, -(-triples.count() // PART_TRIPLES))
 
     for turn in range(rounds):
 
@@ -186,7 +208,7 @@ def trained(triples: DataFrame, classes: Classes, mass: np.ndarray, rounds: int
             weight = float(n.sum())
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(new))), pa.array(new * weight), pa.array(np.full(len(new), weight))], names=["at", "v", "w"])
 
-        moved = triples.repartition(PARTS).sortWithinPartitions("triple").mapInArrow(step, "at BIGINT, v DOUBLE, w DOUBLE")
+        moved = triples.repartition(parts).sortWithinPartitions("triple").mapInArrow(step, "at BIGINT, v DOUBLE, w DOUBLE")
         rows = moved.groupBy("at").agg((F.sum("v") / F.sum("w")).alias("v")).collect()
         if rows:
             params = params.copy()
@@ -194,16 +216,20 @@ def trained(triples: DataFrame, classes: Classes, mass: np.ndarray, rounds: int
     return params
 
 
+def pair_tables(params: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tables by pairs of classes: what the first and what the second of a context add to the log10 score of a class, and the normaliser of a context."""
+    context, target, scale, bias = _parts(params, size)
+    far, near = (context * scale[0]) @ target.T, (context * scale[1]) @ target.T + bias
+    near[:, size - 1] = -np.inf  # a start is never predicted
+    high, low = far.max(axis=1, keepdims=True), near.max(axis=1, keepdims=True)
+    total = np.log(np.exp(far - high) @ np.exp(near - low).T) + high + low.T
+    return tuple((x / np.log(10)).astype(np.float32) for x in (far, near, total))
+
+
 def log_probabilities(params: np.ndarray, size: int) -> np.ndarray:
     """log10 probability of each class after each pair of classes, by number of triple; normalised over the classes."""
-    context, target, scale, bias = _parts(params, size)
-    out = np.empty((size * size, size), np.float32)
-    for first in range(size):
-        scores = (context[first] * scale[0] + context * scale[1]) @ target.T + bias
-        scores[:, size - 1] = -np.inf  # a start is never predicted
-        top = scores.max(axis=1, keepdims=True)
-        out[first * size : (first + 1) * size] = (scores - top - np.log(np.exp(scores - top).sum(axis=1, keepdims=True))) / np.log(10)
-    return out.ravel()
+    far, near, total = pair_tables(params, size)
+    return (far[:, None, :] + near[None, :, :] - total[:, :, None]).ravel()
 
 
 @dataclass(frozen=True)
@@ -221,15 +247,15 @@ class Model:
 
 
 @lru_cache(maxsize=1)
-def _ready(model: Model) -> tuple[np.ndarray, dict[bytes, int]]:
+def _ready(model: Model) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], dict[bytes, int]]:
     size = model.classes.size
-    gain = log_probabilities(np.frombuffer(model.params), size).reshape(-1, size)
-    gain[:, : size - 1] -= np.array(model.shares, np.float32)
+    far, near, total = pair_tables(np.frombuffer(model.params), size)
+    near[:, : size - 1] -= np.array(model.shares, np.float32)
     counts = {}
     for line in model.frequent.split(b"\n")[:-1]:
         word, _, n = line.rpartition(b"\t")
         counts[word] = int(n)
-    return gain.ravel(), counts
+    return (far, near, total), counts
 
 
 def learn(texts: DataFrame) -> tuple[Model, DataFrame]:
@@ -237,7 +263,7 @@ def learn(texts: DataFrame) -> tuple[Model, DataFrame]:
     counts = written(word_counts(texts), "words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     words = counts.where(F.col("word") != F.lit(END))
-    top = tuple(bytes(r.word) for r in words.orderBy(F.col("n").desc(), "word").limit(TOP_WORDS).collect())
+    top = tuple(bytes(r.word) for r in words.orderBy(F.col("n").desc(), "word").limit(max(TOP_WORDS, isqrt(distinct))).collect())
     # Words and endings are compared in hexadecimal: a tail of bytes need not be text.
     code = F.hex("word")
     is_top = code.isin([w.hex().upper() for w in top]) if top else F.lit(False)
@@ -266,7 +292,8 @@ def scored_parts(docs: DataFrame, model: Model) -> DataFrame:
     """``id`` with its tokens, what frequent words give, the model's gain over the base, and its other words with how often they occur."""
 
     def values(texts: list[bytes]) -> list[pa.Array]:
-        gain, counts = _ready(model)
+        (far, near, total), counts = _ready(model)
+        size = model.classes.size
         parts = []
         for begin, end in runs_of(texts):
             codes, begins, words = numbered(texts[begin:end])
@@ -274,7 +301,9 @@ def scored_parts(docs: DataFrame, model: Model) -> DataFrame:
             each = np.where(n > 0, np.log10(n + SMOOTHING), 0.0)[codes]
             known = (n > 0)[codes]
             sizes = np.diff(np.r_[begins, len(codes)])
-            better = gain[class_triples(codes, begins, words, model.classes)].astype(np.float64)
+            pair, own = np.divmod(class_triples(codes, begins, words, model.classes), size)
+            first, second = np.divmod(pair, size)
+            better = far[first, own].astype(np.float64) + near[second, own] - total[first, second]
             at = np.flatnonzero(~known)
             owner = np.repeat(np.arange(len(begins)), sizes)[at]
             pairs, times = np.unique(owner * len(words) + codes[at], return_counts=True)
