@@ -1,5 +1,6 @@
 """Operator 7: the lexicon automaton against edit distances, quotation, and held-out accuracy."""
 
+import math
 import random
 
 import pytest
@@ -60,3 +61,9 @@ def test_held_out_accuracy(spark, folder):
     bad, good = ([r.score for r in rows if r.toxic == x] for x in (1, 0))
     assert sum((x > y) + 0.5 * (x == y) for x in bad for y in good) / len(bad) / len(good) > 0.96
     assert sum(r.predicted == r.toxic for r in rows) / len(rows) > 0.97
+
+
+def test_the_densest_window_of_a_long_text_is_found():
+    lexicon = tx.Lexicon((("idiot", False, 3.0),))
+    text = "idiot" + " word" * 5 + " idiot" + " word" * 5 + " idiot" + (" word" * 20 + " idiot") * 2000
+    assert tx.features(text, lexicon, {})[4] == pytest.approx(math.log(1 + 3))
