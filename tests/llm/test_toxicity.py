@@ -67,3 +67,15 @@ def test_the_densest_window_of_a_long_text_is_found():
     lexicon = tx.Lexicon((("idiot", False, 3.0),))
     text = "idiot" + " word" * 5 + " idiot" + " word" * 5 + " idiot" + (" word" * 20 + " idiot") * 2000
     assert tx.features(text, lexicon, {})[4] == pytest.approx(math.log(1 + 3))
+
+
+def test_longer_stems_use_no_entries_and_no_near_miss_is_dropped(spark, monkeypatch):
+    monkeypatch.setattr(tx, "ENTRIES", 4)
+    letters = "cefghijklmnpqstuvy"
+    near = {x for c in letters for x in (f"{c}adwordx", f"b{c}dwordx", f"ba{c}wordx", f"{c}badwordx", f"b{c}adwordx", f"ba{c}dwordx")}
+    assert len(near) > 20 * tx.ENTRIES
+    rows = [(i, "badwordx zzzzqq", 1) for i in range(40)] + [(i, " ".join(sorted(near)), 0) for i in range(40, 120)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic INT")
+    model = tx.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert {e[:2] for e in model["entries"]} == {("badw", True), ("badwordx", False), ("zzzz", True), ("zzzzqq", False)}
+    assert model["clean"] == near

@@ -215,6 +215,14 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return rows.groupBy("term", "stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
+def _without_longer_stems(terms: DataFrame) -> DataFrame:
+    """``terms`` without stems that begin with another of its stems."""
+    stems = terms.where("stem")
+    begins = F.explode(F.array(*[F.when(F.length("term") > n, F.substring("term", 1, n)) for n in STEM]))
+    longer = stems.select("term", begins.alias("begin")).join(stems.select(F.col("term").alias("begin")), "begin")
+    return terms.join(longer.select("term", F.lit(True).alias("stem")), ["term", "stem"], "left_anti").select(*terms.columns)
+
+
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> dict:
     """The model: lexicon, harmless near-misses and regression weights. What comes to the driver is bounded by ``ENTRIES`` and the sample."""
     sample = labelled_sample(docs, labels, doc_id, text, toxic)
@@ -225,15 +233,13 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     least = max(3, int(np.ceil(log(CHANCE) / log(bad / (bad + good)))))
     weight = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
     counts = written(_term_counts(sample).withColumn("weight", weight), "terms")
-    rows = counts.where((F.col("bad") >= least) & (F.col("weight") >= 4)).orderBy(F.col("bad").desc(), "term", "stem").limit(ENTRIES).collect()
-    stems: dict[str, float] = {}
-    for r in sorted((r for r in rows if r.stem), key=lambda r: (len(r.term), r.term)):
-        if not any(r.term[:n] in stems for n in STEM):
-            stems[r.term] = r.weight
+    fit_for = counts.where((F.col("bad") >= least) & (F.col("weight") >= 4))
+    rows = _without_longer_stems(fit_for).orderBy(F.col("bad").desc(), "term", "stem").limit(ENTRIES).collect()
+    stems = {r.term: r.weight for r in sorted((r for r in rows if r.stem), key=lambda r: (len(r.term), r.term))}
     entries = tuple((t, True, w) for t, w in stems.items()) + tuple((r.term, False, r.weight) for r in sorted(rows) if not r.stem)
     model = {"entries": entries, "clean": frozenset(), "weights": []}
     met = counts.where("not stem and good > 0 and length(term) >= 4").select("term")
-    near = met.mapInArrow(lambda batches: (_near(b, entries) for b in batches), "term STRING").limit(20 * ENTRIES).collect()
+    near = met.mapInArrow(lambda batches: (_near(b, entries) for b in batches), "term STRING").collect()
     model["clean"] = frozenset(r.term for r in near)
     figures = add_text_columns(sample.select("toxic", "text"), "text", "x ARRAY<DOUBLE>", lambda texts: [pa.array(_all_features(texts, model), pa.list_(pa.float64()))])
     rows = figures.collect()
