@@ -7,7 +7,7 @@ whose anchor occurs once need no sorting; segments that are equal throughout are
 left, different segments around the same anchor, is sorted exactly: each shard is a text of its own, whose suffixes
 are put in order by induced sorting. Suffixes that descend to the right of a smaller neighbour are sorted first, by
 their names; all others are induced from them, smallest first and then largest first, through queues in order of the
-leading byte. The queues are kept in files once they exceed a bound, so a shard may be much larger than memory.
+leading byte. The queues are kept in files once they exceed a bound; the text of a shard and its arrays are in memory.
 """
 
 from __future__ import annotations
