@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, induced_sort, log_bilinear, mixing, quote_threads, segment_popcount, toxicity
+from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, induced_sort, log_bilinear, mixing, quote_threads, segment_popcount, spelling_chunks, toxicity
 from tidemark.llm.common import written
 from tidemark.sources.tables import read_table
 
@@ -116,3 +116,40 @@ def op6_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_induced_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return induced_sort.remove_repeats(docs).drop("text")
+
+
+@query
+def op11_spelling_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_chunks.variants(read_table(spark, sf_dir, "documents"))
+
+
+# CRC-32 is worked out byte by byte from its table; near words are found by the words with one code point left out.
+ORACLES["op11_spelling_chunks"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents
+), counted AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS named, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), bytes AS (
+  SELECT run, n, hex(encode(named)) AS x FROM counted
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM bytes, steps
+), edited AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM edited WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), shorter AS (
+  SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM words, range(100) r(k) WHERE k < length(word)
+), near AS (
+  SELECT a.word AS word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.rest = w.word
+), forms AS (
+  SELECT w.word, w.n, count(other) AS n_near, arg_min(other, (-other_n, other)) FILTER (WHERE other_n >= 5 * w.n) AS form FROM words w LEFT JOIN near USING (word) GROUP BY ALL
+), roots AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL UNION ALL SELECT f.word, r.root FROM roots r JOIN forms f ON f.form = r.word
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, g.n AS form_n FROM forms f JOIN roots r ON f.word = r.word LEFT JOIN words g ON f.form = g.word
+"""
