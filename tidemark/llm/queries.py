@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import block_tables, cover_tree, cross_parse, curve_packing, induced_sort, log_bilinear, mixing, quote_threads, segment_popcount, spelling_chunks, toxicity
+from tidemark.llm import block_tables, collision_counting, cover_tree, cross_parse, curve_packing, divergence_skyband, induced_sort, log_bilinear, mixing, quote_threads, segment_popcount, spelling_chunks, toxicity
 from tidemark.llm.common import written
 from tidemark.sources.tables import read_table
 
@@ -153,3 +153,63 @@ WITH RECURSIVE steps AS (
 )
 SELECT f.word, f.form, r.root, f.n, f.n_near, g.n AS form_n FROM forms f JOIN roots r ON f.word = r.word LEFT JOIN words g ON f.form = g.word
 """
+
+
+@query
+def op12_divergence_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_skyband.divergence(read_table(spark, sf_dir, "documents"))
+
+
+# Every kept term is written out for every group, counted or not.
+ORACLES["op12_divergence_skyband"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), terms AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM terms GROUP BY ALL
+), filled AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+  SELECT lang, source, term, n,
+    (1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER w + count(*) OVER w))::HUGEINT AS p,
+    (1 + (1000000000::HUGEINT * (lang_n + 1)) // (sum(lang_n) OVER w + count(*) OVER w))::HUGEINT AS q
+  FROM filled WINDOW w AS (PARTITION BY lang, source)
+), pair_sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN pair_sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+), tops AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (FROM pairs UNION ALL FROM tops)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op13_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_counting.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_collision_counting"] = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_cosine_similarity(a.v, b.v) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM pairs
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
