@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,52 @@ def test_stamp_replaces_the_field(spark):
     assert [json.loads(r[0]) for r in texts] == [{**v, "timeMillis": 7} for v in GOOD.values()]
 
 
+def random_object(rng, depth=0):
+    names = ['"a"', '"t"', '"b,c"', '"\\u0074"', '"t\\u0074"', '""', '"x\\"t"', '"{t"', '"T"']
+    numbers = ["1.10", "1E5", "null", "true", '"a,b"', '"x\\"}{,"', '"t"', '"\\\\"', '""', "1" * 45]
+
+    def value():
+        kind = rng.random() if depth < 3 else 1
+        if kind < 0.25:
+            return random_object(rng, depth + 1)
+        if kind < 0.4:
+            return "[" + ",".join(rng.choice([random_object(rng, depth + 1), '"t"', "2"]) for _ in range(rng.randint(0, 3))) + "]"
+        return rng.choice(numbers)
+
+    return "{" + ",".join(f"{rng.choice(names)}:{value()}" for _ in range(rng.randint(0, 4))) + "}"
+
+
+def pairs(text):
+    return json.loads(text, object_pairs_hook=list, parse_float=str, parse_int=str)
+
+
+def test_text_is_stamped_at_the_top_level_only(spark):
+    rng = random.Random(1)
+    texts = [random_object(rng) for _ in range(800)] + ["{}", '{"t":1}', '{"t":1,"t":2}', '{"a":{"t":1}}', '{"a":1,"t":{"t":1}}']
+    texts.append('{"a":"' + "x" * 300_000 + '","t":"' + "\\n" * 2000 + '"}')
+    got = parsed(spark, texts, js.put_in_text(js.strict_text(), "t", F.lit("7")))
+    for text, stamped in zip(texts, got):
+        assert pairs(stamped) == [p for p in pairs(text) if p[0] != "t"] + [("t", "7")]
+        if '"t"' not in text and "\\" not in text:
+            assert stamped == text[:-1] + ("," if len(text) > 2 else "") + '"t":7}'
+
+
+def test_stamped_text_keeps_its_numbers(spark):
+    digits = "1" * 45
+    texts = ['{"id":' + digits + ',"x":1.10,"y":1E5}', '{"timeMillis":5, "id":' + digits + "}", "{'a': 1.10}"]
+    strict = jobs.stamped(lines(spark, texts), strict=True, now_ms=F.lit(7)).select("value").collect()
+    assert [r.value for r in strict] == ['{"id":' + digits + ',"x":1.10,"y":1E5,"timeMillis":7}', '{"id":' + digits + ',"timeMillis":7}', '{"a":1.1,"timeMillis":7}']
+    assert parsed(spark, texts[:2], js.strict_text()) == [texts[0], texts[1].replace(" ", "")]
+    loose = jobs.stamped(lines(spark, ["bad"]), strict=False, now_ms=F.lit(7)).select("value").collect()
+    assert [r.value for r in loose] == ['{"line":"bad","timeMillis":7}']
+
+
+@pytest.mark.parametrize("text", [*BAD, None])
+def test_strict_text_fails(spark, text):
+    with pytest.raises(Exception, match="not a JSON object"):
+        parsed(spark, [text], js.strict_text())
+
+
 def test_stamp_is_the_clock_by_default(spark):
     row = jobs.stamped(lines(spark, ["bad"]), strict=False).select("fields", "stamp_ms", F.unix_millis(F.now())).first()
     assert abs(row[1] - row[2]) < 60_000

@@ -1,4 +1,4 @@
-"""JSON records as VARIANT columns (P1-P3, P7 and field updates).
+"""JSON records as VARIANT columns and as text (P1-P4, P7 and field updates).
 
 A record is parsed once into a VARIANT column that is null unless the text is exactly one JSON
 object. Strict, fallback and normalising forms are then cheap expressions over that column.
@@ -17,7 +17,8 @@ LENIENT_JSON = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 END_MARK = "~end~"
 
 _PARSED = "__parsed"
-_STRING = r'"(?:[^"\\]|\\.)*+"'
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TOKEN = rf'{_STRING}|[\[\]{{}},]|[^"\[\]{{}},]+'
 
 
 def with_json_object(df: DataFrame, value: str = "value", out: str = "obj") -> DataFrame:
@@ -63,6 +64,11 @@ def strict_object(obj: str = "obj", value: str = "value") -> Column:
     return F.when(F.col(obj).isNotNull(), F.col(obj)).otherwise(_fail(value).cast("variant"))
 
 
+def strict_text(obj: str = "obj", value: str = "value") -> Column:
+    """The JSON text of the object, every digit kept; a bad text fails the query."""
+    return F.coalesce(object_text(obj, value), _fail(value).cast("string"))
+
+
 def is_checked_object(obj: str = "obj", value: str = "value") -> Column:
     """P1 as a condition: true, or the query fails."""
     return F.when(F.col(obj).isNotNull(), True).otherwise(_fail(value).cast("boolean"))
@@ -82,6 +88,60 @@ def json_or_empty(obj: str = "obj", value: str = "value") -> Column:
     return F.coalesce(object_text(obj, value), F.lit(""))
 
 
+def put_in_text(text: Column, name: str, value: Column) -> Column:
+    """P4 on text: the compact JSON object in ``text`` with the top-level field ``name`` set to ``value`` (JSON text).
+
+    Fields of that name at the top level go, however their name is escaped, and the new one comes last; all else stays as
+    written, nested fields of that name too. The text is scanned by tokens only if it holds the name or an escape.
+    """
+    may_hold = F.contains(text, F.lit(f'"{name}"')) | F.contains(text, F.lit("\\"))
+    kept = F.when(may_hold, _without(text, name)).otherwise(F.substring(text, F.lit(2), F.length(text) - 2))
+    comma = F.when(kept == "", "").otherwise(",")
+    return F.concat(F.lit("{"), kept, comma, F.lit(f'"{name}":'), value, F.lit("}"))
+
+
+def _without(text: Column, name: str) -> Column:
+    """What stands between the outer braces, without the top-level fields ``name``."""
+    gaps = F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), _scan(), lambda s, token: _scanned(s, token, name))["gaps"]
+    # The gaps from the first brace on to the last one, and what is kept between each two of them.
+    edges = F.concat(F.array(_gap(F.lit(0), F.lit(1))), gaps, F.array(_gap(F.length(text) - 1, F.length(text))))
+    pairs = F.arrays_zip(F.slice(edges, F.lit(1), F.size(edges) - 1).alias("left"), F.slice(edges, F.lit(2), F.size(edges) - 1).alias("right"))
+    kept = F.transform(pairs, lambda x: F.substring(text, x["left"]["end"] + 1, x["right"]["begin"] - x["left"]["end"]))
+    return F.rtrim(F.array_join(kept, ""), F.lit(","))
+
+
+def _gap(begin: Column, end: Column) -> Column:
+    return F.struct(begin.cast("int").alias("begin"), end.cast("int").alias("end"))
+
+
+def _scan() -> Column:
+    """How deep a scan is, how many characters it has passed, where the top-level field it is in begins and whether that
+    has the name, and the places to leave out."""
+    none = F.array().cast("array<struct<begin:int,end:int>>")
+    return F.struct(
+        F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("begin"), F.lit(False).alias("named"), none.alias("gaps")
+    )
+
+
+def _scanned(s: Column, token: Column, name: str) -> Column:
+    end = s["at"] + F.length(token)
+    opens, closes = token.isin("{", "["), token.isin("}", "]")
+    ends = (s["depth"] == 1) & (closes | (token == ","))
+    starts = ends | (s["depth"] == 0)
+    plain = F.lit(f'"{name}"')
+    unescaped = F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")[0] == name
+    same = F.when(token == plain, True).when(F.contains(token, F.lit("\\")), F.coalesce(unescaped, F.lit(False))).otherwise(False)
+    is_name = (s["depth"] == 1) & (s["at"] == s["begin"]) & F.startswith(token, F.lit('"'))
+    left_out = F.array(_gap(s["begin"], F.when(token == ",", end).otherwise(s["at"])))
+    return F.struct(
+        (s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"),
+        end.alias("at"),
+        F.when(starts, end).otherwise(s["begin"]).alias("begin"),
+        F.when(starts, False).when(is_name, same).otherwise(s["named"]).alias("named"),
+        F.when(ends & s["named"], F.concat(s["gaps"], left_out)).otherwise(s["gaps"]).alias("gaps"),
+    )
+
+
 def fields_or_line(obj: str = "obj", value: str = "value") -> Column:
     """P2 as a map from field name to VARIANT, ready for :func:`put_fields`."""
     line = F.create_map(F.lit("line"), F.col(value).cast("variant"))

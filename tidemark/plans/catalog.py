@@ -310,13 +310,17 @@ NUMBERS_SQL = """'{"n":' || event_id || '.10,"big":12345678901234567890123456789
 
 def number_rows(rows: DataFrame) -> DataFrame:
     """Records whose numbers do not fit any binary type, with blanks between and inside of strings; some lines are bad."""
+    bad = F.concat(F.lit("bad "), F.col("event_id").cast("string"))
+    return number_texts(rows).withColumn("value", F.when(F.col("event_id") % 7 == 0, bad).otherwise(F.col("value")))
+
+
+def number_texts(rows: DataFrame) -> DataFrame:
     text = F.format_string(
         '{ "n": %d.10, "big":12345678901234567890123456789012345678901%d,\t"e" : 1E5,"small":0.1234567890123456789012345678901234567890123, '
         '"s": "a  b \\" c", "o": {"z": [1, 2.0], "a": null} }\n',
         "event_id", "event_id",
     )
-    bad = F.concat(F.lit("bad "), F.col("event_id").cast("string"))
-    return rows.select("event_id", F.when(F.col("event_id") % 7 == 0, bad).otherwise(text).alias("value"))
+    return rows.withColumn("value", text)
 
 
 @query(
@@ -331,7 +335,36 @@ def json_numbers_fallback(spark, folder):
 
 @query("json_numbers_normalise", f"select event_id, case when event_id % 7 = 0 then '' else {NUMBERS_SQL} end as value from events")
 def json_numbers_normalise(spark, folder):
-    return jobs.normalised(number_rows(events(spark, folder)))
+    return jobs.normalised(number_rows(events(spark, folder)).select("event_id", "value"))
+
+
+@query("json_numbers_strict", f"select event_id, {NUMBERS_SQL} as value from events")
+def json_numbers_strict(spark, folder):
+    parsed = js.with_json_object(number_texts(events(spark, folder)))
+    return parsed.select("event_id", js.strict_text().alias("value"))
+
+
+def stamped_sql(text: str) -> str:
+    """A JSON text without a stamp, stamped."""
+    return f"""left({text}, length({text}) - 1) || ',"timeMillis":' || {MS_SQL} || '}}'"""
+
+
+@query(
+    "json_numbers_stamped",
+    f"""with t as (select event_id, ts, case when event_id % 7 = 0 then '{{"line":"bad ' || event_id || '"}}'
+                                              when event_id % 3 = 0 then replace({NUMBERS_SQL}, '{{"z"', '{{"timeMillis":1,"z"')
+                                              else {NUMBERS_SQL} end as v from events)
+        select event_id, {stamped_sql("v")} as value, {MS_SQL} stamp_ms from t""",
+)
+def json_numbers_stamped(spark, folder):
+    """Some records are stamped already, before, after or within their other fields; some have such a field further down."""
+    first, last = F.regexp_replace("value", r"^\{", '{"timeMillis": 5,'), F.regexp_replace("value", r"\}\s*$", ', "timeM\\\\u0069llis":{"a":[5,6]}}')
+    inner = F.regexp_replace("value", r'"big":', '"timeMillis":"5,}", "timeMillis":6, "big":')
+    rows = number_rows(events(spark, folder))
+    rows = rows.withColumn("value", F.when(F.col("event_id") % 3 == 0, F.regexp_replace("value", r'\{"z"', '{"timeMillis":1, "z"')).otherwise(F.col("value")))
+    by = F.when(F.col("event_id") % 4 == 1, first).when(F.col("event_id") % 4 == 2, last).when(F.col("event_id") % 4 == 3, inner).otherwise(F.col("value"))
+    records = jobs.stamped(rows.select("event_id", "ts", F.when(F.col("event_id") % 7 == 0, F.col("value")).otherwise(by).alias("value")), strict=False, now_ms=epoch_millis("ts"))
+    return records.select("event_id", "value", "stamp_ms")
 
 
 @query(
@@ -616,6 +649,23 @@ def stream_sample_ahead(spark, folder):
     return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id")
 
 
+@query(
+    "stream_sampled_lines",
+    f"""with s as ({sampled_sql({jobs.SAMPLE_WAIT_MS: "true"})}), t as (select event_id, ts, {NUMBERS_SQL} v from events)
+        select key, event_id, {stamped_sql("v")} as value from s join t using (event_id)""",
+)
+def stream_sampled_lines(spark, folder):
+    """J2 from text to text: parse, stamp and sample, in three micro-batches or more."""
+    work = scratch_dir(spark, "sampled-lines")
+
+    def kept(rows):
+        lines = number_texts(with_zoned_time(rows)).select("event_type", "event_id", "ts", "value")
+        return jobs.sampled_lines(lines, "event_type", "event_id", f"{work}/out", f"{work}/checkpoint", None, epoch_millis("ts"))
+
+    replay_runs(spark, event_slices(spark, folder), kept)
+    return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id", "value")
+
+
 @query("stream_throttle_user_10m", sampled_sql({TEN_MINUTES_MS: "true"}, "cast(user_id as varchar)"))
 def stream_throttle_user_10m(spark, folder):
     """Many keys, with state per key."""

@@ -37,18 +37,21 @@ def device_last_values(rows: DataFrame, width: str = "1 minute", delay: str = DE
 
 
 def stamped(lines: DataFrame, strict: bool, now_ms: Column | None = None) -> DataFrame:
-    """Parse ``value`` and stamp it: ``fields`` (name to VARIANT), ``event_time`` and what else came in.
+    """Parse ``value`` and stamp it: as text in ``value`` (every digit kept), as ``fields`` (name to VARIANT), with
+    ``event_time`` and what else came in. What is not read of these is not worked out.
 
     Strict parsing fails on a bad line; otherwise the line becomes the field ``line``. The stamp is
     processing time unless ``now_ms`` is given, such as the record time of a Kafka source.
     """
     parsed = js.with_json_object(lines)
     fields = js.fields_of(js.strict_object()) if strict else js.fields_or_line()
+    text = js.strict_text() if strict else js.json_or_line()
     stamp = now_millis() if now_ms is None else now_ms
     kept = [c for c in lines.columns if c != "value"]
-    fielded = parsed.select(*kept, fields.alias("fields"), stamp.alias("stamp_ms"))
+    fielded = parsed.select(*kept, text.alias("value"), fields.alias("fields"), stamp.alias("stamp_ms"))
     return fielded.select(
         *kept,
+        js.put_in_text(F.col("value"), STAMP_FIELD, F.col("stamp_ms").cast("string")).alias("value"),
         js.put_fields(F.col("fields"), **{STAMP_FIELD: F.col("stamp_ms")}).alias("fields"),
         "stamp_ms",
         event_time("stamp_ms").alias("event_time"),
@@ -82,12 +85,17 @@ def sample_stream(
 
 
 def sampled_lines(
-    lines: DataFrame, source: str, row_id: str, path: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL
+    lines: DataFrame,
+    source: str,
+    row_id: str,
+    path: str,
+    checkpoint: str,
+    interval: str | None = CHECKPOINT_INTERVAL,
+    now_ms: Column | None = None,
 ) -> DataStreamWriter:
-    """J2 from text: parse strictly, stamp with the clock, sample per ``source``, write as JSON text in ``value``."""
-    records = stamped(lines.select("value", source, row_id), strict=True).select(
-        source, row_id, "stamp_ms", F.to_json("fields").alias("value")
-    )
+    """J2 from text: parse strictly, stamp (with the clock, unless ``now_ms`` is given), sample per ``source``, write as
+    JSON text in ``value`` that keeps every digit."""
+    records = stamped(lines, strict=True, now_ms=now_ms).select(source, row_id, "stamp_ms", "value")
     now = F.col("stamp_ms")
     return sample_stream(records, source, now, now, row_id, path, checkpoint, interval)
 
