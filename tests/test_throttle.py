@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import throttle as batch
-from tidemark.operators.throttle import throttle
+from tidemark.operators.throttle import last_emissions, throttle
+from tidemark.streaming import throttle as live
 from tidemark.streaming.sinks import append_sink
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
@@ -104,11 +105,11 @@ def test_old_state_expires(spark, tmp_path):
     out = str(tmp_path / "out")
 
     def run(stream):
-        return throttle_batches(stream, "k", "ms", 10, "id", out, str(tmp_path / "checkpoint"), None, expire_ms=100)
+        return throttle_batches(stream, "k", "ms", 10, "id", out, str(tmp_path / "checkpoint"), None, expire_ms=100, fold_every=1)
 
-    in_batches(spark, tmp_path, [[("a", 0, 10, 1), ("b", 50, 10, 2)], [("b", 120, 10, 3), ("b", 125, 10, 4)]], run)
-    assert {r.id for r in emitted_rows(spark, out).collect()} == {1, 2, 3}
-    assert {tuple(r) for r in spark.read.parquet(f"{out}/last/batch_id=1").collect()} == {("b", 120)}
+    in_batches(spark, tmp_path, [[("a", 0, 10, 1), ("b", 50, 10, 2)], [("b", 120, 10, 3), ("b", 125, 10, 4)], [("c", 125, 10, 5)]], run)
+    assert {r.id for r in emitted_rows(spark, out).collect()} == {1, 2, 3, 5}
+    assert {tuple(r) for r in spark.read.parquet(f"{out}/last").select("key", "last").collect()} == {("b", 120), ("c", 125)}
 
 
 def in_batches(spark, tmp_path, batches, run):
@@ -149,7 +150,81 @@ def test_batches_carry_the_last_emission_over_restarts(spark, tmp_path):
     kept = emitted_rows(spark, out)
     assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
     assert sorted(kept.columns) == ["id", "k", "ms", "wait"]
-    assert sorted(p.name for p in (tmp_path / "out" / "last").glob("batch_id=*")) == ["batch_id=1", "batch_id=2"]
+
+
+def state(spark, out):
+    newest = {}
+    for r in spark.read.parquet(f"{out}/last").orderBy("batch_id").collect():
+        newest[r.key] = max(r.last, newest.get(r.key, r.last))
+    return newest
+
+
+def test_a_micro_batch_adds_the_state_of_its_own_keys_only(spark, tmp_path):
+    out = str(tmp_path / "out")
+    many = [(f"k{i}", i, 10, i) for i in range(300)]
+
+    def run(stream):
+        return throttle_batches(stream, "k", "ms", 10, "id", out, str(tmp_path / "checkpoint"), None)
+
+    in_batches(spark, tmp_path, [many, [("k7", 1000, 10, 1000)], [("k7", 1005, 10, 1001)]], run)
+    sizes = {i: spark.read.parquet(f"{out}/last/batch_id={i}").count() for i in range(3)}
+    assert sizes == {0: 300, 1: 1, 2: 0}
+    assert state(spark, out) == {**{f"k{i}": i for i in range(300)}, "k7": 1000}
+
+
+@pytest.mark.parametrize("fold_every", [1, 2, 3])
+def test_folded_state_leads_to_the_same_rows(spark, tmp_path, fold_every):
+    rows = rows_in_order()
+    out = str(tmp_path / "out")
+
+    def run(stream):
+        return throttle_batches(stream, "k", "ms", F.col("wait"), "id", out, str(tmp_path / "checkpoint"), None, fold_every=fold_every)
+
+    in_batches(spark, tmp_path, [rows[i : i + 180] for i in range(0, 900, 180)], run)
+    assert sorted(r.id for r in emitted_rows(spark, out).collect()) == one_by_one(rows)
+    assert len(list((tmp_path / "out" / "last").glob("batch_id=*"))) <= fold_every + 1
+
+
+def test_folding_again_after_a_stop_changes_nothing(spark, tmp_path):
+    path = str(tmp_path)
+    for i, part in enumerate([[("a", 1), ("b", 2)], [("a", 5)], [("c", 9)]]):
+        spark.createDataFrame(part, "key string, last bigint").write.parquet(f"{path}/last/batch_id={i}")
+    spark.createDataFrame([("a", 1), ("b", 2)], "key string, last bigint").write.mode("append").parquet(f"{path}/last/batch_id=1")
+    live._fold_state(spark, path, 1, None)
+    assert sorted(p.name for p in tmp_path.glob("last/batch_id=*")) == ["batch_id=1", "batch_id=2"]
+    assert state(spark, path) == {"a": 5, "b": 2, "c": 9}
+    live._fold_state(spark, path, 1, None)
+    assert state(spark, path) == {"a": 5, "b": 2, "c": 9}
+
+
+@pytest.mark.parametrize("form", ["stream", "batches"])
+def test_a_stream_goes_on_from_a_backfill(spark, tmp_path, form):
+    rows = rows_in_order()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    first = throttle(spark.createDataFrame(rows[:400], SCHEMA), "k", "ms", F.col("wait"), "id")
+    initial = last_emissions(first, "k", "ms")
+
+    def run(stream):
+        if form == "batches":
+            return throttle_batches(stream, "k", "ms", F.col("wait"), "id", out, checkpoint, None, initial=initial)
+        return append_sink(throttle_stream(stream, "k", "ms", F.col("wait"), "id", initial=initial), out, checkpoint, interval=None)
+
+    in_batches(spark, tmp_path, [rows[400:600], rows[600:]], run)
+    live_rows = emitted_rows(spark, out) if form == "batches" else spark.read.parquet(out)
+    assert sorted([r.id for r in first.collect()] + [r.id for r in live_rows.collect()]) == one_by_one(rows)
+
+
+@pytest.mark.parametrize("levels", [0, 1, 2])
+def test_fewer_levels_give_the_same_rows(spark, levels):
+    rows = some_rows(17, 1500, 100_000, [60, 10, 250])
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = throttle(df, "k", "ms", F.col("wait"), "id", segment_ms=500, levels=levels)
+    assert sorted(r.id for r in kept.collect()) == one_by_one(rows)
+
+
+def test_levels_grow_with_the_span():
+    hour = batch.SEGMENT_MS
+    assert [batch.levels_for(h * hour) for h in (0, 16, 17, 256, 257, 10**6)] == [0, 0, 1, 1, 2, batch.LEVELS]
 
 
 def test_rows_without_a_wait_are_not_emitted(spark):

@@ -56,6 +56,7 @@ def throttle(
     row_id: str,
     segment_ms: int = SEGMENT_MS,
     known: DataFrame | None = None,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """The rows of ``df`` that are emitted.
 
@@ -63,6 +64,7 @@ def throttle(
     without a time or a wait are never emitted.
     ``wait_ms`` may differ from row to row (K5: a shorter wait for rows with a clock ahead).
     ``known`` has the last emission before all rows, as ``key`` (text), ``last``, one row per key.
+    ``levels`` is how often step functions are composed: :func:`levels_for` tells it for rows of a known span.
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
     candidates = (
@@ -85,7 +87,7 @@ def throttle(
         partial(_segment_steps, segment_ms=segment_ms), _STEPS
     )
     emitted = (
-        hours.join(_entries(steps, segment_ms, known), ["key", "segment"])
+        hours.join(_entries(steps, segment_ms, known, levels), ["key", "segment"])
         .sortWithinPartitions("key", "segment", "ms", "id")
         .mapInPandas(partial(_emissions, segment_ms=segment_ms), "id bigint")
     )
@@ -104,15 +106,28 @@ def _after(steps: DataFrame, known: DataFrame, segment_ms: int) -> DataFrame:
     )
 
 
-def _entries(steps: DataFrame, segment_ms: int, known: DataFrame | None = None) -> DataFrame:
+def levels_for(span_ms: int, segment_ms: int = SEGMENT_MS) -> int:
+    """So many levels that the last walk of a key over rows within ``span_ms`` takes about ``FAN_IN`` steps at most."""
+    levels, covered = 0, FAN_IN * segment_ms
+    while covered < span_ms and levels < LEVELS:
+        levels, covered = levels + 1, covered * FAN_IN
+    return levels
+
+
+def last_emissions(emitted: DataFrame, key: str | Column, time_ms: str | Column) -> DataFrame:
+    """What later rows of each key go on from: ``key`` (text), ``last``."""
+    return emitted.groupBy(key_text(key).alias("key")).agg(F.max(as_column(time_ms).cast("bigint")).alias("last"))
+
+
+def _entries(steps: DataFrame, segment_ms: int, known: DataFrame | None, depth: int) -> DataFrame:
     """The last emission before each segment."""
     if known is not None:
         steps = _after(steps, known, segment_ms)
-    levels = [_under_parents(steps)]
-    for level in range(1, LEVELS + 1):
+    levels = [_under_parents(steps) if depth else steps]
+    for level in range(1, depth + 1):
         compose = partial(_compose_groups, span_ms=segment_ms * FAN_IN**level)
         parents = levels[-1].sortWithinPartitions("key", "parent", "segment").mapInPandas(compose, _STEPS)
-        levels.append(_under_parents(parents) if level < LEVELS else parents)
+        levels.append(_under_parents(parents) if level < depth else parents)
     top = levels.pop().withColumn("parent", F.lit(0)).repartition("key")
     if known is None:
         top = top.withColumn("last", F.lit(NEVER))

@@ -17,7 +17,7 @@ from tidemark.functions.offset_lines import parse_offset_lines, range_text, to_o
 from tidemark.functions.timing import epoch_millis, from_millis, time_of_day_text
 from tidemark.operators.filters import future_rows
 from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, topic_stats
-from tidemark.operators.throttle import throttle
+from tidemark.operators.throttle import last_emissions, throttle
 from tidemark.operators.windows import last_value_windows, window_counts, window_totals
 from tidemark.plans import jobs
 from tidemark.session import scratch_dir
@@ -680,6 +680,25 @@ def stream_throttle_user_10m(spark, folder):
     return spark.read.parquet(f"{work}/out")
 
 
+@query("stream_throttle_handover", sampled_sql({TEN_MINUTES_MS: "true"}, "cast(user_id as varchar)"))
+def stream_throttle_handover(spark, folder):
+    """A backfill as a table, the first third, and a stream that goes on from where it ended."""
+    work = scratch_dir(spark, "handover")
+    first, *rest = [with_zoned_time(rows) for rows in event_slices(spark, folder)]
+    ms = epoch_millis("ts")
+    throttle(first, "user_id", ms, TEN_MINUTES_MS, "event_id").select("user_id", "ts", "event_id").write.parquet(f"{work}/first")
+    done = spark.read.parquet(f"{work}/first")
+    last_emissions(done, "user_id", ms).write.parquet(f"{work}/last")
+
+    def kept(rows):
+        rows = rows.select("user_id", "ts", "event_id")
+        live = throttle_stream(rows, "user_id", ms, TEN_MINUTES_MS, "event_id", initial=spark.read.parquet(f"{work}/last"))
+        return append_sink(live.select("key", "event_id"), f"{work}/out", f"{work}/checkpoint", None)
+
+    replay_runs(spark, rest, kept)
+    return done.select(F.col("user_id").cast("string").alias("key"), "event_id").unionByName(spark.read.parquet(f"{work}/out"))
+
+
 # --- Sources and sinks (S1, S6, K2) ---------------------------------------------------------------
 
 

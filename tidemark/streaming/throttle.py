@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.keys import key_text
 from tidemark.functions.timing import as_column
-from tidemark.operators.throttle import throttle
+from tidemark.operators.throttle import levels_for, throttle
 from tidemark.session import drop_folder
 from tidemark.streaming.sinks import CHECKPOINT_INTERVAL, batch_writer
 
@@ -28,6 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NEVER = -(2**62)
 
+# Micro-batches after which the changes of the state are folded.
+FOLD_EVERY = 50
+STATE = "key string, last bigint"
+
 
 class LastEmitted(StatefulProcessor):
     """Keeps the time of the last emitted row of each key."""
@@ -38,6 +42,9 @@ class LastEmitted(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "ms bigint", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.last.update((int(initialState["last"].max()),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         stored = self.last.get()
         last = NEVER if stored is None else stored[0]
@@ -75,6 +82,7 @@ def throttle_stream(
     wait_ms: int | Column,
     row_id: str | Column,
     ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """The emitted rows, with their ``key``.
 
@@ -83,6 +91,8 @@ def throttle_stream(
     task, which holds one row per millisecond.
     ``ttl_ms`` forgets keys that were silent for so long by the clock; choose it above the wait, and
     a trigger that runs on: Spark keeps making batches to watch the clock, so available-now never ends.
+    ``initial`` has the last emissions that the first run starts from, as ``key`` (text), ``last``, such as those of a
+    backfill by the table form (:func:`tidemark.operators.throttle.last_emissions`); a restart goes on from its checkpoint.
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
     kept = df.select(
@@ -93,8 +103,9 @@ def throttle_stream(
         as_column(row_id).cast("bigint").alias("throttle_id"),
     ).filter(F.col("throttle_ms").isNotNull())
     out = StructType([f for f in kept.schema.fields if not f.name.startswith("throttle_")])
+    known = None if initial is None else initial.select("key", "last").groupBy("key")
     return kept.groupBy("key").transformWithStateInPandas(
-        LastEmitted(ttl_ms), out, "Append", "None" if ttl_ms is None else "ProcessingTime"
+        LastEmitted(ttl_ms), out, "Append", "None" if ttl_ms is None else "ProcessingTime", known
     )
 
 
@@ -108,13 +119,17 @@ def throttle_batches(
     checkpoint: str,
     interval: str | None = CHECKPOINT_INTERVAL,
     expire_ms: int | None = None,
+    fold_every: int = FOLD_EVERY,
+    initial: DataFrame | None = None,
 ) -> DataStreamWriter:
     """X1 with its sink: emitted rows go to ``path/rows``, a folder per micro-batch.
 
-    ``path/last`` holds the last emission of each key after each of the last two micro-batches; the rows are throttled as a
-    table that starts from it. A micro-batch that is run again starts from the state before it and replaces its own
-    folders. ``expire_ms`` forgets keys whose last emission is that much older than the newest of all: choose it above
-    the longest wait and the disorder of the rows. Without it the state has a row per key ever seen.
+    ``path/last`` is the state as a log: a micro-batch adds the last emissions of the keys that it emitted, and no
+    others, and reads those of the keys that it has. The newest row of a key counts. A micro-batch that is run again reads
+    the log before it and replaces its own folders. Every ``fold_every`` micro-batches the log is folded into
+    one folder, where ``expire_ms`` forgets keys whose last emission is that much older than the newest of all: choose it
+    above the longest wait and the disorder of the rows. Without it the state has a row per key ever seen.
+    ``initial`` has the last emissions that the first run starts from, as in :func:`throttle_stream`.
     """
     wait = F.lit(wait_ms) if isinstance(wait_ms, int) else wait_ms
     timed = df.withColumns(
@@ -126,28 +141,48 @@ def throttle_batches(
     )
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        read = rows.sparkSession.read
-        known = None
-        if batch_id > 0:
-            known = read.parquet(f"{path}/last/batch_id={batch_id - 1}")
+        spark = rows.sparkSession
+        if batch_id == 0 and initial is not None:
+            initial.select("key", "last").write.mode("overwrite").parquet(f"{path}/last/batch_id=-1")
         kept = rows.persist()  # read by the walk and by the selection of its rows
-        emitted = throttle(kept, "throttle_key", "throttle_ms", F.col("throttle_wait"), row_id, known=known)
+        begin, end = kept.agg(F.min("throttle_ms"), F.max("throttle_ms")).first()
+        known = None
+        if batch_id > 0 or initial is not None:
+            log = _state_log(spark, path).filter(F.col("batch_id") < batch_id)
+            own = kept.select(F.col("throttle_key").alias("key")).distinct()
+            known = log.join(own, "key", "left_semi").groupBy("key").agg(F.max("last").alias("last")).persist()
+        levels = levels_for(end - begin) if begin is not None else 0
+        emitted = throttle(kept, "throttle_key", "throttle_ms", F.col("throttle_wait"), row_id, known=known, levels=levels)
         emitted.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        kept.unpersist()
-        last = read.parquet(f"{path}/rows/batch_id={batch_id}").select(
-            F.col("throttle_key").alias("key"), F.col("throttle_ms").alias("last")
-        )
-        last = last if known is None else last.unionByName(known)
-        newest = last.groupBy("key").agg(F.max("last").alias("last"))
-        if expire_ms is not None:
-            end = last.agg(F.max("last")).first()[0]
-            newest = newest.filter(F.col("last") >= F.lit(end) - expire_ms)
-        newest.write.mode("overwrite").parquet(f"{path}/last/batch_id={batch_id}")
-        drop_folder(rows.sparkSession, f"{path}/last/batch_id={batch_id - 2}")
+        for held in (kept, known):
+            if held is not None:
+                held.unpersist()
+        changed = spark.read.parquet(f"{path}/rows/batch_id={batch_id}").groupBy(F.col("throttle_key").alias("key"))
+        changed.agg(F.max("throttle_ms").alias("last")).write.mode("overwrite").parquet(f"{path}/last/batch_id={batch_id}")
+        if batch_id > 1 and batch_id % fold_every == 0:
+            _fold_state(spark, path, batch_id - 1, expire_ms)
 
     return batch_writer(timed, checkpoint, "append", interval, write)
 
 
+def _state_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{STATE}, batch_id bigint").parquet(f"{path}/last")
+
+
+def _fold_state(spark: SparkSession, path: str, last: int, expire_ms: int | None) -> None:
+    """Bring the log up to micro-batch ``last``, which is never run again, into that one's folder and remove the older ones.
+    At each step a reader finds the newest row of every key, as it may find older ones too."""
+    log = _state_log(spark, path).filter(F.col("batch_id") <= last)
+    newest = log.groupBy("key").agg(F.max("last").alias("last"), F.max_by("batch_id", "last").alias("since"))
+    if expire_ms is not None:
+        end = log.agg(F.max("last")).first()[0]
+        newest = newest.filter(F.col("last") >= F.lit(end) - expire_ms)
+    older = [row.batch_id for row in log.select("batch_id").distinct().collect() if row.batch_id < last]
+    newest.filter(F.col("since") < last).select("key", "last").write.mode("append").parquet(f"{path}/last/batch_id={last}")
+    for batch_id in older:
+        drop_folder(spark, f"{path}/last/batch_id={batch_id}")
+
+
 def emitted_rows(spark: SparkSession, path: str) -> DataFrame:
     """The rows that :func:`throttle_batches` has written."""
     rows = spark.read.parquet(f"{path}/rows")
