@@ -3,6 +3,8 @@
 import datetime
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -48,3 +50,12 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["asset_id", "win_start", "cnt", "pw_1m", "prod_delta", "wind_avg"]
+
+
+@pytest.mark.parametrize("library", ["tiktoken", "xxhash", "public_tokenizers", "corpus_pipeline", "tidemark.llm"])
+def test_the_engine_works_without_an_extra(library):
+    """A library that only the operators on training data need may be absent."""
+    code = f"import sys; sys.modules[{library!r}] = None; import __spark_entry__ as e; print(*sorted(e.queries()))"
+    folder = os.path.dirname(os.path.abspath(contract.__file__))
+    out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=folder, capture_output=True, text=True, check=True).stdout.split()
+    assert set(catalog.QUERIES) <= set(out) and "pipeline" not in out
