@@ -1,10 +1,12 @@
+from urllib.parse import quote
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.offset_lines import parse_offset_lines, range_text
-from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, report_lines, topic_stats
+from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, report_lines, topic_stats, write_report
 from tidemark.plans import jobs
-from tidemark.sources.text import split_lines
+from tidemark.sources.text import numbered, read_lines, split_lines
 
 
 def line(partition, start, end, topic="t1"):
@@ -147,3 +149,46 @@ def test_report_has_sections_per_topic(spark):
     ranges = parse(spark, "\n".join([line(1, 0, 5), line(2, 0, 5, "t2")]))
     report = report_lines(ranges).orderBy("topic", "section", "position").collect()
     assert [(r.topic, r.section) for r in report] == [(t, s) for t in ("t1", "t2") for s in (0, 1, 2)]
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "700", "128m"])
+def test_lines_of_many_files_are_in_order(spark, tmp_path, split_bytes):
+    """Files of very different sizes, so that tasks read parts of several; names with blanks and signs."""
+    folder = tmp_path / "some lines"
+    folder.mkdir()
+    written = []
+    for i, (name, count) in enumerate([("b%20.txt", 3), ("a é.txt", 200), ("c.txt", 1), ("b.txt", 70), ("d#.txt", 40)]):
+        texts = [f"{name} line {j}" if (j + i) % 5 else "" for j in range(count)]
+        (folder / name).write_text("\n".join(texts) + "\n")
+        written.append((name, texts))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        ordered = [t for _, texts in sorted(written, key=lambda x: quote(x[0])) for t in texts]
+        assert [r.value for r in read_lines(spark, str(folder)).orderBy("line_no").collect()] == [t for t in ordered if t]
+        assert [tuple(r) for r in numbered(spark, str(folder)).orderBy("line_no").collect()] == list(enumerate(ordered))
+        one = read_lines(spark, str(folder / "a é.txt")).orderBy("line_no").collect()
+        assert [r.value for r in one] == [t for t in dict(written)["a é.txt"] if t]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("split_bytes", ["200", "128m"])
+def test_last_line_wins_over_files(spark, tmp_path, split_bytes):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for f in range(4):
+        lines = [f"topic: t    partition: {100 * f + i}    offsets: {1000 * f + i} to {1000 * f + i + i % 5}" for i in range(30)]
+        (folder / f"part-{f}.txt").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        found = jobs.offset_report(spark, str(folder))
+        lowest = found["lowest"].orderBy("rank").collect()
+        write_report(found["report"], str(tmp_path / "report"))
+        report = [r.value for r in numbered(spark, str(tmp_path / "report")).orderBy("line_no").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.delta, r.partition) for r in lowest] == [(0, 325), (1, 326), (2, 327)]
+    assert report[0] == "t" and report[1].startswith("\t0-> 0 -> 0 = 0") and report[120].startswith("\t329-> ")
+    assert "count=120" in report[121] and report[122].endswith("3025 -> 3025 = 0") and len(report) == 125

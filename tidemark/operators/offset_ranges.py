@@ -63,10 +63,11 @@ def report_lines(ranges: DataFrame, lowest: int = LOWEST) -> DataFrame:
     Sections: 0 the topic name, 1 its ranges in line order, 2 its statistics, 3 its smallest deltas.
     """
     stats = topic_stats(ranges)
+    place = ranges.schema["line_no"].dataType
 
     def section(df: DataFrame, number: int, position: Column, line: Column) -> DataFrame:
         return df.select(
-            "topic", F.lit(number).alias("section"), position.cast("bigint").alias("position"), line.alias("line")
+            "topic", F.lit(number).alias("section"), position.cast(place).alias("position"), line.alias("line")
         )
 
     def entry(number: int, line) -> Column:
@@ -74,10 +75,19 @@ def report_lines(ranges: DataFrame, lowest: int = LOWEST) -> DataFrame:
 
     totals = F.format_string(STATS_LINE, "topic", "cnt", "min_delta", "max_delta", "avg_delta")
     headed = stats.select("topic", F.explode(F.array(entry(0, F.col("topic")), entry(2, totals))).alias("entry")).select(
-        "topic", "entry.section", F.lit(0).cast("bigint").alias("position"), "entry.line"
+        "topic", "entry.section", F.lit(0).cast(place).alias("position"), "entry.line"
     )
     listed = section(ranges, 1, F.col("line_no"), F.format_string(RANGE_LINE, F.col("partition"), range_text()))
     smallest = section(
         lowest_deltas(ranges, lowest), 3, F.col("rank"), F.format_string(LOWEST_LINE, F.col("delta"), range_text())
     )
     return headed.unionByName(listed).unionByName(smallest)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """K8: the report as text files that are in order, by their names and within; read them with ``sources.text.numbered``.
+
+    Its lines are dealt out by ranges of (topic, section, position), so that a topic of any size is spread over files.
+    """
+    order = ["topic", "section", "position"]
+    report.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.text(path)

@@ -16,7 +16,7 @@ from tidemark.functions.keys import key_by, key_text, salt_key
 from tidemark.functions.offset_lines import parse_offset_lines, range_text, to_offset_line
 from tidemark.functions.timing import epoch_millis, from_millis, time_of_day_text
 from tidemark.operators.filters import future_rows
-from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, topic_stats
+from tidemark.operators.offset_ranges import lowest_deltas, ranges_by_topic, topic_stats, write_report
 from tidemark.operators.throttle import last_emissions, throttle
 from tidemark.operators.windows import last_value_windows, window_counts, window_totals
 from tidemark.plans import jobs
@@ -24,7 +24,7 @@ from tidemark.session import scratch_dir
 from tidemark.sources.generator import generated_records
 from tidemark.sources.kafka import decode
 from tidemark.sources.tables import as_telemetry, read_table, with_zoned_time
-from tidemark.sources.text import read_lines, split_lines
+from tidemark.sources.text import numbered, read_lines, split_lines
 from tidemark.streaming.replay import file_stream, replay_runs, replay_slices, replay_to_end, time_slices
 from tidemark.streaming.sinks import append_sink, bucketed_text_sink, changelog_sink, latest_rows, latest_snapshot, snapshot_sink
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
@@ -543,6 +543,14 @@ def offset_bottom3(spark, folder):
     return lowest_deltas(offset_ranges(spark, folder))
 
 
+@query("offset_bottom3_files", LOWEST_SQL)
+def offset_bottom3_files(spark, folder):
+    """The lines in several files: of equal deltas in different files the one in the last file counts."""
+    path = f"{scratch_dir(spark, 'offset-files')}/lines"
+    offset_lines(spark, folder).repartitionByRange(5, "line_no").sortWithinPartitions("line_no").select("value").write.text(path)
+    return lowest_deltas(parse_offset_lines(read_lines(spark, path)))
+
+
 @query(
     "offset_ranges_by_topic",
     f"""select topic, line_no, "partition", from_offset, until_offset, delta from ({OFFSETS_SQL}) r""",
@@ -551,20 +559,28 @@ def offset_ranges_by_topic(spark, folder):
     return ranges_by_topic(offset_ranges(spark, folder))
 
 
-@query(
-    "offset_report",
-    f"""with r as ({OFFSETS_SQL}), s as ({STATS_SQL}), l as ({LOWEST_SQL})
+REPORT_SQL = f"""with r as ({OFFSETS_SQL}), s as ({STATS_SQL}), l as ({LOWEST_SQL})
         select topic, 0 section, cast(0 as bigint) as position, topic as line from s
         union all select topic, 1, line_no, chr(9) || "partition" || '-> ' || from_offset || ' -> ' || until_offset || ' = ' || delta from r
         union all select topic, 2, 0, topic || ' 统计: count=' || cnt || ', minDelta=' || min_delta || ', maxDelta=' || max_delta
                          || ', averageDelta=' || avg_delta from s
-        union all select topic, 3, rank, chr(9) || '最小Delta ' || delta || ' : ' || from_offset || ' -> ' || until_offset || ' = ' || delta from l""",
-)
+        union all select topic, 3, rank, chr(9) || '最小Delta ' || delta || ' : ' || from_offset || ' -> ' || until_offset || ' = ' || delta from l"""
+
+
+@query("offset_report", REPORT_SQL)
 def offset_report(spark, folder):
     """The ranges are parsed once, into a table that all sections read, as in J8."""
     return jobs.describe_offsets(jobs.kept_ranges(offset_ranges(spark, folder)))["report"]
 
 
+@query("offset_report_text", f"select row_number() over (order by topic, section, position) - 1 as line_no, line as value from ({REPORT_SQL}) t")
+def offset_report_text(spark, folder):
+    """The report written as text and read back in the order of its files and lines."""
+    path = f"{scratch_dir(spark, 'offset-report')}/report"
+    write_report(offset_report(spark, folder), path)
+    return numbered(spark, path)
+
+
 # --- Clock skew and sampling (F5, X1, K5) --------------------------------------------------------
 
 # A device clock that is 0 to 990 seconds ahead.

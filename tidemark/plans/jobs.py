@@ -137,7 +137,8 @@ def telemetry(spark: SparkSession, rows: DataFrame, width: str = "1 minute", del
 
 
 def offset_report(spark: SparkSession, path: str, strict: bool = True) -> dict[str, DataFrame]:
-    """The ranges of a text file and what they tell. The file is parsed once, into a table that all outputs read."""
+    """The ranges of a text file, or of a folder of such files in order of their paths, and what they tell. The text is
+    parsed once, into a table that all outputs read; ``write_report`` writes the report as text."""
     return describe_offsets(kept_ranges(parse_offset_lines(read_lines(spark, path), strict=strict)))
 
 
