@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -10,7 +11,8 @@ from tidemark.session import scratch_dir, shared_parent
 from tidemark.sources.generator import generated_records, ticks
 from tidemark.sources.kafka import KAFKA_SCHEMA, checkpoint_path, decode, kafka_options, read_kafka, start_options
 from tidemark.sources.tables import DEVICE_SCHEMA, rows
-from tidemark.streaming.replay import file_stream, late_rows, replay_to_end
+from tidemark.streaming.progress import progress_log, read_to
+from tidemark.streaming.replay import file_stream, replay_to_end
 from tidemark.streaming.throttle import emitted_rows
 from tidemark.streaming.sinks import (
     append_sink,
@@ -42,15 +44,56 @@ def test_late_rows_are_dropped_and_restarts_resume(spark, tmp_path):
     source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
     late = 0
     source.mkdir()
-    for batch in (DEVICE_ROWS[:6], [(10, "d2", day("00:22:30"), 1)], DEVICE_ROWS[6:]):
-        write(spark, source, batch)
-        query = append_sink(device_stream(spark, source), out, checkpoint, interval=None).start()
-        query.awaitTermination()
-        late += late_rows(query)
+    with progress_log(spark) as log:
+        for batch in (DEVICE_ROWS[:6], [(10, "d2", day("00:22:30"), 1)], DEVICE_ROWS[6:]):
+            write(spark, source, batch)
+            query = append_sink(device_stream(spark, source), out, checkpoint, interval=None).start()
+            query.awaitTermination()
+            late += log.late_rows(query)
     assert windows(spark.read.parquet(out)) == [("00:00", "d1", 1), ("00:02", "d1", 2), ("00:12", "d1", 1), ("00:20", "d2", 1)]
     assert late == 2
 
 
+def test_late_rows_are_counted_over_more_micro_batches_than_a_query_remembers(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i in range(106):
+        # The third micro-batch and the fifth hold rows that are late for the ones before.
+        late = {3: [(1000, "d1", day("00:00:10"), 1)], 5: [(1001, "d1", day("00:00:20"), 1), (1002, "d2", day("00:00:30"), 1)]}
+        write(spark, source, [(i, "d1", day(f"01:{i % 60:02d}:00") if i < 60 else day(f"02:{i % 60:02d}:00"), i), *late.get(i, [])])
+        os.utime(max(source.glob("*.parquet"), key=os.path.getmtime), (i, i))
+    schema = rows(spark, [], DEVICE_SCHEMA).schema
+    stream = jobs.device_last_values(file_stream(spark, str(source), schema, files_per_batch=1))
+    with progress_log(spark, str(tmp_path / "progress"), flush_every=40) as log:
+        query = append_sink(stream, str(tmp_path / "out"), str(tmp_path / "c"), interval=None).start()
+        query.awaitTermination()
+        assert log.late_rows(query) == 3
+        assert log.batches(query) >= 106 > len(query.recentProgress)
+    remembered = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    assert remembered < 3
+    table = spark.read.parquet(str(tmp_path / "progress"))
+    assert table.agg(F.sum("late_rows"), F.sum("input_rows")).first() == (3, 109)
+    (end,) = read_to(table).collect()
+    assert end.query_id == str(query.id) and end.input_rows == 109 and json.loads(end.end_offset)["logOffset"] == 105
+    assert table.groupBy("batch_id", "source").count().where("count > 1").isEmpty()
+
+
+def test_progress_goes_on_over_restarts(spark, tmp_path):
+    """The progress table has all runs of a query, and no offset twice."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for part, late in ((DEVICE_ROWS[:4], 0), (DEVICE_ROWS[4:], 1)):
+        write(spark, source, part)
+        with progress_log(spark, str(tmp_path / "progress")) as log:
+            query = append_sink(device_stream(spark, source), str(tmp_path / "out"), str(tmp_path / "c"), interval=None).start()
+            query.awaitTermination()
+            assert log.late_rows(query) == late
+    table = spark.read.parquet(str(tmp_path / "progress"))
+    (end,) = read_to(table).collect()
+    assert table.select("run_id").distinct().count() == 2
+    assert end.input_rows == len(DEVICE_ROWS) and json.loads(end.end_offset)["logOffset"] == 1
+
+
 def test_replay_lets_every_window_out(spark, tmp_path):
     write(spark, tmp_path / "in", DEVICE_ROWS)
     schema = rows(spark, [], DEVICE_SCHEMA).schema
@@ -164,8 +207,12 @@ def test_start_options():
     assert start_options("group") == {"startingOffsets": "latest"}
     assert start_options("group", offset_reset="earliest") == {"startingOffsets": "earliest"}
     assert start_options("Timestamp", 5)["startingTimestamp"] == "5"
+    assert start_options("group", offset_reset="Earliest") == {"startingOffsets": "earliest"}
     with pytest.raises(ValueError):
         start_options("timestamp")
+    for mode in ("group", "earliest"):
+        with pytest.raises(ValueError, match="offset_reset"):
+            start_options(mode, offset_reset="none")
 
 
 def test_kafka_options(spark, tmp_path):

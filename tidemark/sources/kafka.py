@@ -17,9 +17,11 @@ def start_options(mode: str = "group", timestamp_ms: int | None = None, offset_r
     """Where a first run starts. A restart always resumes from its checkpoint.
 
     ``mode`` (any case) is earliest, latest or timestamp; anything else means "where we left off",
-    which for a first run is ``offset_reset``.
+    which for a first run is ``offset_reset`` (any case): earliest or latest.
     """
-    mode = mode.lower()
+    mode, offset_reset = mode.lower(), offset_reset.lower()
+    if offset_reset not in ("earliest", "latest"):
+        raise ValueError(f"offset_reset must be earliest or latest, not {offset_reset}")
     if mode == "timestamp":
         if timestamp_ms is None:
             raise ValueError("mode timestamp needs timestamp_ms")

@@ -1,4 +1,4 @@
-"""Bounded replays of tables through the streaming operators (M1, M2, L1)."""
+"""Bounded replays of tables through the streaming operators (M1, M2, L1); late rows are counted by ``streaming.progress``."""
 
 from __future__ import annotations
 
@@ -96,8 +96,3 @@ def _end_value(field, text: str):
         return F.lit(END_OF_TIME).cast(field.dataType)
     empty = text if isinstance(field.dataType, StringType) else 0
     return F.lit(empty).cast(field.dataType)
-
-
-def late_rows(query) -> int:
-    """L1: how many rows a query has dropped as late."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
