@@ -1,6 +1,7 @@
 """Operator 10 against naive parsing, and held-out accuracy."""
 
 import random
+import tracemalloc
 
 import pytest
 
@@ -11,14 +12,14 @@ from tidemark.llm import cross_parse
 def test_automaton_accepts_exactly_the_substrings():
     rng = random.Random(1)
     data = bytes(rng.choice(b"abc") for _ in range(60))
-    moves = cross_parse.suffix_automaton(data)
+    moves = cross_parse.suffix_automaton(data, 128)
 
     def accepts(text):
         state = 0
         for byte in text:
-            if byte not in moves[state]:
-                return False
             state = moves[state][byte]
+            if state < 0:
+                return False
         return True
 
     for _ in range(3000):
@@ -48,6 +49,57 @@ def test_phrases_equal_naive_parsing():
         assert list(counts) == [naive(text, s) for _, s in samples]
 
 
+def test_folding():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("aBz9 .\n\tÄé\u00a0\u0085日") for _ in range(rng.randint(0, 30))).encode()
+        signs = [x if x >= 128 else ord(chr(x).lower()) if chr(x).isalpha() else 32 for x in text]
+        assert cross_parse.folded(text) == b" ".join(w for w in bytes(signs).split(b" ") if w)
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 10_000])
+def test_blocks_of_lanes_count_as_one(monkeypatch, lanes):
+    rng = random.Random(5)
+    parser = cross_parse.Parser((("x", (b"abcabcaab",)), ("y", (b"bcd bcd",))))
+    texts = [bytes(rng.choice(b"abcd e") for _ in range(n)) for n in (0, 3000, 1, 512, 513, 0, 1024, 7000, 5)]
+    whole = [sum(parser.phrases([t[i : i + cross_parse.LANE]])[0] for i in range(0, max(1, len(t)), cross_parse.LANE)).tolist() for t in texts]
+    monkeypatch.setattr(cross_parse, "LANES", lanes)
+    assert parser.phrases(texts).tolist() == whole
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    samples = (("x", (b"the cat sat on the mat and so on",)), ("y", (b"el gato esta en la casa y mas",)))
+    text = b"The Cat, sat on the mat. " * 800_000
+    parser = cross_parse._parser(samples)
+    tracemalloc.start()
+    names, scores = cross_parse.predict([b"the cat sat on the mat", text], samples)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert names == ["x", "x"] and parser.names == ["x", "y"]
+    assert most < 8 * len(text)
+
+
+def test_tables_are_built_in_bounded_memory():
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz äöüß"
+    samples = tuple((name, tuple("".join(rng.choice(letters) for _ in range(768)).encode() for _ in range(64))) for name in "abcd")
+    tracemalloc.start()
+    parser = cross_parse.Parser(samples)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(t.nbytes for t in parser.tables) < 64 << 20
+    assert most < held + (48 << 20)
+
+
+def test_kept_columns_are_not_overwritten(spark):
+    docs = spark.createDataFrame([(1, "the cat", 7.5, "fr", "x")], "doc_id BIGINT, text STRING, score DOUBLE, lang_pred STRING, body STRING")
+    samples = (("en", (b"the cat sat",)), ("es", (b"el gato",)))
+    names = cross_parse.added_names(docs)
+    row = cross_parse.identify(docs, samples, keep=True).first()
+    assert (row.score, row.lang_pred, row.body, row.text) == (7.5, "fr", "x", "the cat")
+    assert row[names["lang_pred"]] == "en" and 0 < row[names["score"]] <= 1
+
+
 def test_long_texts_use_several_lanes():
     parser = cross_parse.Parser((("x", (b"abcabc",)),))
     text = b"abcabc" * 1000

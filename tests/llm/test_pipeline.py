@@ -52,3 +52,15 @@ def test_columns_of_nulls(spark, column):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
     docs.collect()
+
+
+def test_no_stage_touches_columns_of_other_names(spark):
+    names = ["a", "b", "spans", "score", "lang_pred", "n_bytes", "n_removed", "n_spans", "kept_sha256", "row_number", "component_id", "fp", "copies", "rate", "at", "body", "c0", "key"]
+    docs = spark.createDataFrame(planted(5), SCHEMA).drop("fp", "Body").withColumns({n: F.lit(f"{n} of the user") for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = stage(spark, docs, "")
+        assert docs.columns == before.columns, name
+        rows = docs.select(*names).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"{n} of the user" for n in names)], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0

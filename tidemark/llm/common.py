@@ -60,18 +60,18 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 
 def add_text_columns(
-    rows: DataFrame, text: str, fields: str, values: Callable[[list[bytes]], list[pa.Array]]
+    rows: DataFrame, text: str, fields: str, values: Callable[[list[bytes]], list[pa.Array]], keep: bool = False
 ) -> DataFrame:
-    """Replace the column ``text`` by ``fields`` (a DDL list), which ``values`` makes from the texts of a batch."""
+    """Replace the column ``text`` by ``fields`` (a DDL list), which ``values`` makes from the texts of a batch; or ``keep`` it too."""
     spark = rows.sparkSession
-    kept = [f for f in rows.schema.fields if f.name != text]
+    kept = [f for f in rows.schema.fields if keep or f.name != text]
     added = spark.createDataFrame([], fields).schema.fields
     at = rows.columns.index(text)
     names = [f.name for f in kept] + [f.name for f in added]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            others = [c for i, c in enumerate(batch.columns) if i != at]
+            others = [c for i, c in enumerate(batch.columns) if keep or i != at]
             yield pa.RecordBatch.from_arrays([*others, *values(utf8(batch.column(at)))], names=names)
 
     from pyspark.sql.types import StructType

@@ -480,14 +480,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Adds ``n_bytes, n_removed, n_spans, kept_sha256`` (over bytes, as removed) and replaces ``text`` by what is left,
     where removed runs are shrunk to whole characters. Earlier means a smaller id or the same document further
     left; null ids come last, rows with the same id are ordered by text. A null text counts as empty and stays
-    null. Extra columns stay unless their names are those added (or ``a, b, spans``), which are replaced. An
+    null. Extra columns stay; where a name is taken, the column that is added has another (:func:`figure_names`). An
     empty table gives an empty result. Texts without a repeated string are not shuffled.
     """
     if not 8 <= gram < width:
         raise ValueError("gram must be at least 8 and below width")
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    kept = [c for c in docs.columns if c.lower() not in {*added, "a", "b", "spans"}]
-    rows = numbered(docs.select(*kept), doc_id, text)
+    names = [*docs.columns, *figure_names(docs).values()]
+    # Inside, the columns go by their places, so that no name of theirs can meet one that is used here.
+    kept = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (kept[docs.columns.index(c)] for c in (doc_id, text))
+    rows = numbered(docs.toDF(*kept), doc_id, text)
     spans = repeated_spans(rows.select("a", "b", F.col(text).alias("body")), width, gram)
     bitmap = _bits(spans)
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
@@ -511,4 +513,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     touched = _filtered(rows, bitmap, True).join(spans, ["a", "b"], "left").select(*kept, "spans")
-    return clean.unionByName(touched.mapInArrow(step, schema))
+    return clean.unionByName(touched.mapInArrow(step, schema)).toDF(*names)
+
+
+def figure_names(docs: DataFrame) -> dict[str, str]:
+    """The columns that ``remove_repeats`` adds to those of ``docs``: names that are free there."""
+    return {name: free_name(docs, name) for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
