@@ -24,9 +24,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some language stay; those without a letter, which have none, go. Labels are learned from the training folds."""
     configure(spark)
     samples = cross_parse.learn(docs.where(cross_parse.in_training("doc_id")), "doc_id", "text", "lang")
-    text = free_name(docs, "scored_text")
-    found = cross_parse.identify(docs.withColumn(text, F.col("text")), samples, text=text, keep=True)
-    return found.where(F.col("lang_pred") != cross_parse.UNKNOWN).select(*docs.columns)
+    found = cross_parse.identify(docs, samples, keep=True)
+    language = cross_parse.added_names(docs)["lang_pred"]
+    return found.where(F.col(language) != cross_parse.UNKNOWN).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Passages of 100 bytes and more that an earlier document, or an earlier place, has too are cut out."""
     configure(spark)
     cut = induced_sort.remove_repeats(docs)
-    size = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars").cast("bigint")).alias("n_chars")
+    removed = induced_sort.figure_names(docs)["n_removed"]
+    size = F.when(F.col(removed) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars").cast("bigint")).alias("n_chars")
     return cut.select(*[size if c == "n_chars" else c for c in docs.columns])
 
 
