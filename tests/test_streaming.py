@@ -19,12 +19,15 @@ from tidemark.streaming.sinks import (
     bucketed_text_sink,
     changelog_sink,
     console_sink,
+    fold_buckets,
     kafka_sink,
     latest_rows,
     memory_sink,
     latest_snapshot,
+    read_buckets,
     snapshot_sink,
 )
+from tidemark.streaming.state import window_state
 
 
 def write(spark, path, data, schema=DEVICE_SCHEMA):
@@ -140,6 +143,58 @@ def test_bucketed_text(spark, tmp_path):
     assert all(len(list((tmp_path / "out" / f).glob("*.txt"))) <= 2 for f in folders)
 
 
+def test_folded_buckets_show_each_line_once(spark, tmp_path):
+    """Before, between and after folds, when a fold stops half way, and with lines that come after their hour was folded."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    told = []
+
+    def run(batch):
+        told.extend(f"line {i}" for i, *_ in batch)
+        write(spark, source, [(i, f"line {i}", day(t), 1) for i, t in batch])
+        lines = file_stream(spark, str(source), rows(spark, [], DEVICE_SCHEMA).schema).select("ts", F.col("device").alias("value"))
+        bucketed_text_sink(lines, out, str(tmp_path / "c"), "ts", 1, None, roll_records=2).start().awaitTermination()
+
+    def seen():
+        found = read_buckets(spark, out).collect()
+        assert all(r.bucket.startswith("2024-01-01--0") for r in found)
+        return sorted(r.value for r in found)
+
+    def begun():
+        """A reader that has listed its files."""
+        reader = read_buckets(spark, out)
+        reader.schema, reader._jdf.queryExecution().executedPlan()
+        return reader
+
+    run([(i, f"0{i % 2}:00:{i:02d}") for i in range(10)])
+    assert len(list((tmp_path / "out").glob("bucket=*/*.txt"))) >= 5  # rolled after two lines
+    early = begun()
+    assert seen() == sorted(told)
+    assert fold_buckets(spark, out, files_per_bucket=1) >= 3
+    assert seen() == sorted(told) == sorted(r.value for r in early.collect())
+    assert fold_buckets(spark, out) == 0
+    run([(10, "00:59:00"), (11, "02:00:00")])  # one line for the hour that is folded
+    assert seen() == sorted(told)
+    # A fold that stops before its list is there leaves lines that no reader takes.
+    (tmp_path / "out-folded" / "lines" / "fold=stopped" / "bucket=2024-01-01--01").mkdir(parents=True)
+    (tmp_path / "out-folded" / "lines" / "fold=stopped" / "bucket=2024-01-01--01" / "part-0.txt").write_text("line 1\n")
+    assert seen() == sorted(told)
+    assert fold_buckets(spark, out, before="2024-01-01--09") >= 3
+    assert seen() == sorted(told)
+    folded = list((tmp_path / "out-folded" / "lines").glob("fold=*/bucket=*--00/*.txt"))
+    assert len(folded) == 2 and fold_buckets(spark, out, before="2024-01-01--09") == 0
+
+
+def test_windows_leave_the_state_when_the_watermark_has_passed(spark, tmp_path):
+    source, checkpoint = tmp_path / "in", str(tmp_path / "c")
+    source.mkdir()
+    for batch in (DEVICE_ROWS[:6], [(10, "d2", day("00:22:30"), 1)]):
+        write(spark, source, batch)
+        append_sink(device_stream(spark, source), str(tmp_path / "out"), checkpoint, interval=None).start().awaitTermination()
+    held = window_state(spark, checkpoint).collect()
+    assert [(r[1], r.window.start) for r in held] == [("d2", day("00:22:00"))]
+
+
 def test_bucket_by_clock(spark, tmp_path):
     write(spark, tmp_path / "in", DEVICE_ROWS)
     lines = file_stream(spark, str(tmp_path / "in"), rows(spark, [], DEVICE_SCHEMA).schema).select(F.col("device").alias("value"))

@@ -8,6 +8,7 @@ from tidemark.operators import throttle as batch
 from tidemark.operators.throttle import last_emissions, throttle
 from tidemark.streaming import throttle as live
 from tidemark.streaming.sinks import append_sink
+from tidemark.streaming.state import throttle_state
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
 SCHEMA = "k string, ms bigint, wait bigint, id bigint"
@@ -247,3 +248,57 @@ def test_stream_with_expiring_state(spark, tmp_path):
     finally:
         query.stop()
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]
+
+
+def test_the_state_of_a_stopped_stream_goes_over_to_another(spark, tmp_path):
+    """Its keys and last emissions, one row each, are what a new checkpoint starts from, here with other partitions."""
+    rows = rows_in_order()
+    outs = [str(tmp_path / f"out{i}") for i in (0, 1)]
+    checkpoints = [str(tmp_path / f"c{i}") for i in (0, 1)]
+
+    def run(stream, i=0, initial=None):
+        return append_sink(throttle_stream(stream, "k", "ms", F.col("wait"), "id", initial=initial), outs[i], checkpoints[i], interval=None)
+
+    in_batches(spark, tmp_path, [rows[:300], rows[300:500]], run)
+    held = throttle_state(spark, checkpoints[0])
+    last = {}
+    for r in spark.read.parquet(outs[0]).collect():
+        last[r.key] = max(r.ms, last.get(r.key, r.ms))
+    assert {r.key: r["last"] for r in held.collect()} == last and held.count() == len(last)
+    (tmp_path / "new").mkdir()
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        in_batches(spark, tmp_path / "new", [rows[500:]], lambda stream: run(stream, 1, held))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    both = [r.id for out in outs for r in spark.read.parquet(out).collect()]
+    assert sorted(both) == one_by_one(rows)
+
+
+def test_expired_keys_leave_the_state(spark, tmp_path):
+    """Every batch of a running query lets go of keys that were silent for longer than the time limit."""
+    source = tmp_path / "in"
+    stream = lambda: spark.readStream.schema(SCHEMA).parquet(str(source))
+    put = lambda row: spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(str(source))
+    put(("old", 0, 10, 1))
+    kept = throttle_stream(stream(), "k", "ms", F.col("wait"), "id", ttl_ms=4_000)
+    query = append_sink(kept, str(tmp_path / "out"), str(tmp_path / "c"), interval="1 second").start()
+    deadline = time.monotonic() + 90
+
+    def emitted():
+        return sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    def keys():
+        try:
+            return {r.key for r in throttle_state(spark, str(tmp_path / "c")).collect()}
+        except Exception:  # no state is written yet
+            return set()
+
+    try:
+        while keys() != {"old"}:
+            assert time.monotonic() < deadline and query.awaitTermination(0.2) is False
+        put(("new", 5, 10, 2))
+        while keys() & {"old"} or emitted() != [1, 2]:
+            assert time.monotonic() < deadline and query.awaitTermination(0.5) is False
+    finally:
+        query.stop()

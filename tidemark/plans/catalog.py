@@ -26,7 +26,9 @@ from tidemark.sources.kafka import decode
 from tidemark.sources.tables import as_telemetry, read_table, with_zoned_time
 from tidemark.sources.text import numbered, read_lines, split_lines
 from tidemark.streaming.replay import file_stream, replay_runs, replay_slices, replay_to_end, time_slices
-from tidemark.streaming.sinks import append_sink, bucketed_text_sink, changelog_sink, latest_rows, latest_snapshot, snapshot_sink
+from tidemark.streaming.sinks import (
+    append_sink, bucketed_text_sink, changelog_sink, fold_buckets, latest_rows, latest_snapshot, read_buckets, snapshot_sink,
+)
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -757,11 +759,11 @@ def templated_generator(spark, folder):
     )
 
 
-@query(
-    "file_sink_bucketed",
-    f"""with m as (select ts, {MESSAGE_SQL} as v from events)
-        select strftime(ts, '%Y-%m-%d--%H') bucket, case when json_valid(v) then cast(json(v) as varchar) else '' end as value from m""",
-)
+BUCKETS_SQL = f"""with m as (select ts, {MESSAGE_SQL} as v from events)
+        select strftime(ts, '%Y-%m-%d--%H') bucket, case when json_valid(v) then cast(json(v) as varchar) else '' end as value from m"""
+
+
+@query("file_sink_bucketed", BUCKETS_SQL)
 def file_sink_bucketed(spark, folder):
     work = scratch_dir(spark, "buckets")
     schema = read_table(spark, folder, "events").schema
@@ -770,3 +772,21 @@ def file_sink_bucketed(spark, folder):
     sink = bucketed_text_sink(lines, f"{work}/out", f"{work}/checkpoint", "ts", files_per_bucket=4, interval=None)
     sink.start().awaitTermination()
     return spark.read.schema("value STRING, bucket STRING").text(f"{work}/out")
+
+
+@query("file_sink_folded", BUCKETS_SQL)
+def file_sink_folded(spark, folder):
+    """The hours before the newest are folded between the runs; hours that go on in the next run have files of both kinds."""
+    work = scratch_dir(spark, "buckets")
+
+    runs = []
+
+    def bucketed(rows):
+        if runs:
+            fold_buckets(spark, f"{work}/out")
+        runs.append(rows)
+        lines = jobs.normalised(message_rows(with_zoned_time(rows)).select("ts", "value"))
+        return bucketed_text_sink(lines, f"{work}/out", f"{work}/checkpoint", "ts", files_per_bucket=2, interval=None)
+
+    replay_runs(spark, event_slices(spark, folder), bucketed)
+    return read_buckets(spark, f"{work}/out")

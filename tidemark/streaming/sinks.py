@@ -6,10 +6,12 @@ progress: a query restarted with the same one goes on where it stopped (X2, S4).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -72,20 +74,77 @@ def bucketed_text_sink(
     time: str | Column | None = None,
     files_per_bucket: int | None = None,
     interval: str | None = BUCKET_INTERVAL,
+    roll_records: int | None = None,
 ) -> DataStreamWriter:
-    """K2: the text column ``value``, one line per row, in a folder per hour.
+    """K2: the text column ``value``, one line per row, in a folder per hour; read with :func:`read_buckets`.
 
     By the clock, a micro-batch writes to one hour. By a time column each task may write to many;
     ``files_per_bucket`` then brings the rows of an hour together in that many tasks, so that there
     are fewer files and no single task gets a whole busy hour. The task goes by a hash of all columns of ``df``,
-    so equal texts are spread as far as their rows differ.
+    so equal texts are spread as far as their rows differ. ``roll_records`` begins a new file after so many lines.
+    Each micro-batch adds files of its own; :func:`fold_buckets` makes them few.
     """
     lines = with_bucket(df, time)
     if files_per_bucket:
         part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
         lines = lines.withColumn("__part", part).repartition("bucket", "__part")
     lines = lines.select("bucket", "value")
-    return _writer(lines, checkpoint, "append", interval).format("text").option("path", path).partitionBy("bucket")
+    writer = _writer(lines, checkpoint, "append", interval).format("text").option("path", path)
+    if roll_records:
+        writer = writer.option("maxRecordsPerFile", roll_records)
+    return writer.partitionBy("bucket")
+
+
+def _bucket_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.schema("value STRING, bucket STRING").text(path)
+    return lines.select("value", "bucket", F.col("_metadata.file_path").alias("file"))
+
+
+def _folded_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """``file, fold``: the files of the sink that are folded, and by which fold; none before the first."""
+    try:
+        return spark.read.schema("file STRING, fold STRING").parquet(f"{path}-folded/done")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
+
+
+def fold_buckets(spark: SparkSession, path: str, before: str | None = None, files_per_bucket: int = 1) -> int:
+    """Bring the files of the hours before the bucket ``before`` (the newest one there is) into few, and say how many there were.
+
+    The lines go to ``<path>-folded``; the fold counts from the moment its list of files is there, which is one file. A reader
+    sees each line once at any time, and so it does if a fold is stopped half way or if lines of an hour come after its
+    fold: their files are not on a list. The files of the sink stay for readers that have begun, and for the sink's log.
+    """
+    lines, done = _bucket_lines(spark, path), _folded_files(spark, path)
+    if before is None:
+        before = lines.agg(F.max("bucket")).first()[0] or ""
+    open_ = lines.filter(F.col("bucket") < before)
+    if done is not None:
+        open_ = open_.join(done, "file", "left_anti")
+    files = [r.file for r in open_.select("file").distinct().collect()]
+    if not files:
+        return 0
+    fold = uuid.uuid4().hex
+    # From here on exactly these files: the sink may add some meanwhile.
+    listed = spark.createDataFrame([(f, fold) for f in files], "file string, fold string")
+    chosen = lines.join(listed, "file", "left_semi")
+    part = F.pmod(F.xxhash64("file", F.monotonically_increasing_id()), F.lit(files_per_bucket))
+    chosen = chosen.withColumn("part", part).repartition("bucket", "part").select("value", "bucket")
+    chosen.write.partitionBy("bucket").text(f"{path}-folded/lines/fold={fold}")
+    listed.coalesce(1).write.mode("append").parquet(f"{path}-folded/done")
+    return len(files)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """``value, bucket``: all lines of a bucketed text sink, each once, from folded files as far as there are."""
+    lines, done = _bucket_lines(spark, path), _folded_files(spark, path)
+    if done is None:
+        return lines.drop("file")
+    folds = [f"{path}-folded/lines/fold={r.fold}" for r in done.select("fold").distinct().collect()]
+    folded = [spark.read.schema("value STRING, bucket STRING").text(f).select("value", "bucket") for f in folds]
+    return reduce(DataFrame.unionByName, folded, lines.join(done, "file", "left_anti").select("value", "bucket"))
 
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL) -> DataStreamWriter:
