@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.cases import SCHEMA, documents
@@ -71,16 +72,19 @@ def test_awkward_documents(spark):
     assert ds.divergence(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+@pytest.mark.parametrize("grid", [2, 16, 256])
 @pytest.mark.parametrize("k", [1, 3, 200])
-def test_skyband_keeps_what_fewer_than_k_dominate(k):
+def test_skyband_keeps_what_fewer_than_k_dominate(monkeypatch, k, grid):
+    monkeypatch.setattr(ds, "GRID", grid)
+    monkeypatch.setattr(ds, "STEP", 50)
     rng = np.random.default_rng(k)
     n, total = rng.integers(1, 12, 700), rng.integers(1, 40, 700)
     terms = [bytes(rng.integers(97, 123, 5).tolist()) for _ in range(700)]
-    got = set(ds.skyband(n, total, terms, k, block=64).tolist())
+    got = set(ds.skyband(n, total, pa.array(terms), k).tolist())
     key = [(t, i) for i, t in enumerate(terms)]
     above = [sum(n[j] >= n[i] and total[j] <= total[i] and key[j] <= key[i] for j in range(700) if j != i) for i in range(700)]
     assert got == {i for i in range(700) if above[i] < k}
-    assert len(ds.skyband(np.zeros(0, int), np.zeros(0, int), [], k)) == 0
+    assert len(ds.skyband(np.zeros(0, int), np.zeros(0, int), pa.array([], pa.string()), k)) == 0
 
 
 def test_counts_beyond_long_products(spark):

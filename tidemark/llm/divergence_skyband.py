@@ -3,68 +3,90 @@
 Terms are counted once per document and task, and meet once, by language and term. What a term adds to the divergence
 grows with its count in the group and falls with its count in the language. So a term that ``TOP`` others dominate
 (count in the group as high, count in the language as low, name as early) cannot be among the first ``TOP``: each
-partition keeps the skyband of its terms, the skybands are merged in parts, and only what is left is ranked exactly.
+partition keeps the skyband of its terms of a group, the skybands of a group are merged, and only what is left is ranked exactly.
 Pairs of sources sum over the terms that both have; what the others add depends on one count and is summed by it.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import utf8, written
+from tidemark.llm.common import runs_of, utf8, written
 
 # Terms are ASCII letters and whatever is not ASCII, as bytes of UTF-8; shares are in units of 1 / SCALE.
-TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+_TERM = bytes(x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
 SCALE = 1_000_000_000
 LEAST_DOCS, TOP = 3, 200
 
-PIECE = 1 << 20  # bytes of a text whose terms are held at once
-FLUSH = 200_000  # counts that a task holds before it passes them on
-HELD = 1 << 17  # terms that a task holds before it cuts them to skybands
-PARTS = 16  # in which the skybands of a group are merged
+PIECE = 1 << 20  # bytes of a text that are split at once
+FLUSH = 1 << 20  # counts that a task holds before it brings equal ones together and passes them on
+HELD = 1 << 17  # terms of a group that a task holds before it cuts them to their skyband
+PARTS = 16  # in which the terms of a group are dealt out
+GRID, STEP = 256, 256  # steps of a skyband's grid in either direction, terms that are told at once
 
 
 def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
-    """``text`` in parts of about ``size`` bytes that cut no term."""
-    gap, at = re.compile(rb"[^A-Za-z\x80-\xff]"), 0
-    while at < len(text):
-        end = gap.search(text, at + size)
-        yield text[at : end.start() if end else len(text)]
-        at = end.start() if end else len(text)
+    """``text`` in lower case with blanks for what is no term, in parts of about ``size`` bytes that cut no term."""
+    text, at = text.translate(_TERM), 0
+    while len(text) - at > size and (end := text.find(b" ", at + size)) >= 0:
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def _counted(texts: list[bytes], groups: np.ndarray) -> pa.Table:
+    """``group, term, n, docs`` over texts and the number of each one's group."""
+    parts, owner = [], []
+    for i, text in enumerate(texts):
+        for piece in pieces(text):
+            parts.append(piece)
+            owner.append(i)
+    lists = pc.ascii_split_whitespace(pa.array(parts, pa.binary()).cast(pa.string()))
+    flat, owner = lists.flatten(), np.repeat(np.array(owner), pc.list_value_length(lists).to_numpy())
+    real = pc.not_equal(pc.binary_length(flat), 0)  # blanks at the ends leave empty ones
+    coded, owner = flat.filter(real).dictionary_encode(), owner[real.to_numpy(zero_copy_only=False)]
+    size = max(1, len(coded.dictionary))
+    # First by text and term, so that each text counts once, then by group and term.
+    by_text, n = np.unique(owner * size + coded.indices.to_numpy(), return_counts=True)
+    key = groups[by_text // size] * size + by_text % size
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(n, begin) if len(key) else n
+    term = coded.dictionary.take(pa.array(key[begin] % size))
+    return pa.table({"group": key[begin] // size, "term": term, "n": sums.astype(np.int64), "docs": np.diff(np.r_[begin, len(key)])})
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs`` over ``lang, source, text`` without nulls; a task gives a term several times at most if it has many."""
-    names = ["lang", "source", "term", "n", "docs"]
 
-    def flushed(held: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            terms = pa.array(list(n), pa.binary()).cast(pa.string())
-            size = len(terms)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()), terms, pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in n], pa.int64())], names=names)
+    def flushed(held: list[pa.Table], groups: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+        sums = pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+        names = [pa.array([g[i] for g in groups], pa.string()) for i in (0, 1)]
+        columns = [*[x.take(sums["group"].combine_chunks()) for x in names], sums["term"], sums["n_sum"], sums["docs_sum"]]
+        yield from pa.table(columns, names=["lang", "source", "term", "n", "docs"]).to_batches(max_chunksize=1 << 16)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        groups: dict[tuple[str, str], int] = {}
+        held, rows = [], 0
         for batch in batches:
-            groups = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for group, text in zip(groups, utf8(batch.column(2)), strict=True):
-                own: Counter = Counter()
-                for piece in pieces(text.lower()):
-                    own.update(TERM.findall(piece))
-                n, docs = held.setdefault(group, (Counter(), Counter()))
-                n.update(own)
-                docs.update(own.keys())
-            if sum(len(n) for n, _ in held.values()) > FLUSH:
-                yield from flushed(held)
-                held = {}
-        yield from flushed(held)
+            texts = utf8(batch.column(2))
+            own = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            numbers = np.array([groups.setdefault(g, len(groups)) for g in own], np.int64)
+            for begin, end in runs_of(texts):
+                held.append(_counted(texts[begin:end], numbers[begin:end]))
+                rows += held[-1].num_rows
+                if rows > FLUSH:
+                    yield from flushed(held, groups)
+                    held, rows = [], 0
+        if held:
+            yield from flushed(held, groups)
 
     return docs.select("lang", "source", "text").mapInArrow(step, "lang STRING, source STRING, term STRING, n BIGINT, docs BIGINT")
 
@@ -77,57 +99,74 @@ def kept_terms(counts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     return told.where(F.col("in_docs") >= least).select("lang", "source", "term", "n", "total", "leads")
 
 
-def skyband(n: np.ndarray, total: np.ndarray, terms: list[bytes], k: int, block: int = 512) -> np.ndarray:
-    """Places of the terms that fewer than ``k`` others dominate: ``n`` as high, ``total`` as low, name as early."""
+def _steps(values: np.ndarray) -> np.ndarray:
+    """``values`` by the step of the grid they lie on: equal values share one."""
+    edges = np.unique(np.quantile(values, np.arange(1, GRID) / GRID, method="nearest"))
+    return np.searchsorted(edges, values, side="left")
+
+
+def skyband(n: np.ndarray, total: np.ndarray, terms: pa.Array, k: int) -> np.ndarray:
+    """Places of the terms that fewer than ``k`` others dominate: ``n`` as high, ``total`` as low, name as early.
+
+    In order of ``n`` a dominating term comes earlier. A grid over the other two tells for most terms whether the
+    earlier ones on lower steps are ``k`` already, or those on steps as low are not; the rest are compared one by one.
+    """
+    if not len(n):
+        return np.zeros(0, np.int64)
     rank = np.empty(len(terms), np.int64)
-    rank[sorted(range(len(terms)), key=terms.__getitem__)] = np.arange(len(terms))
+    rank[pc.sort_indices(terms.cast(pa.binary())).to_numpy()] = np.arange(len(terms))
     order = np.lexsort((rank, total, -n))
     # Of terms with equal counts the first k by name come into question.
-    fresh = np.r_[True, (n[order][1:] != n[order][:-1]) | (total[order][1:] != total[order][:-1])] if len(order) else np.zeros(0, bool)
-    begin = np.flatnonzero(fresh)
+    begin = np.flatnonzero(np.r_[True, (n[order][1:] != n[order][:-1]) | (total[order][1:] != total[order][:-1])])
     order = order[np.arange(len(order)) - np.repeat(begin, np.diff(np.r_[begin, len(order)])) < k]
-    kept_total, kept_rank, kept = np.zeros(0, np.int64), np.zeros(0, np.int64), []
-    # A dominating term comes earlier; to count those in the skyband so far, and all of the block, is enough.
-    for at in range(0, len(order), block):
-        own = order[at : at + block]
-        t, r = total[own], rank[own]
-        above = ((kept_total <= t[:, None]) & (kept_rank <= r[:, None])).sum(axis=1)
-        above += np.tril((t[None, :] <= t[:, None]) & (r[None, :] <= r[:, None]), -1).sum(axis=1)
-        few = above < k
-        kept.append(own[few])
-        kept_total, kept_rank = np.r_[kept_total, t[few]], np.r_[kept_rank, r[few]]
-    return np.concatenate(kept) if kept else order
+    t, r = total[order], rank[order]
+    a, b = _steps(t), _steps(r)
+    wide = int(b.max()) + 2
+    grid, kept = np.zeros((int(a.max()) + 2, wide), np.int64), np.zeros(len(order), bool)
+    for at in range(0, len(order), STEP):
+        own = slice(at, min(at + STEP, len(order)))
+        below = grid.cumsum(axis=0).cumsum(axis=1)
+        least, most = below[a[own], b[own]], below[a[own] + 1, b[own] + 1]
+        beside = np.tril((t[own] <= t[own, None]) & (r[own] <= r[own, None]), -1).sum(axis=1)
+        kept[own] = most + beside < k
+        for i in np.flatnonzero((least < k) & ~kept[own]) + at:
+            kept[i] = np.count_nonzero((t[:i] <= t[i]) & (r[:i] <= r[i])) < k
+        np.add.at(grid.ravel(), (a[own] + 1) * wide + b[own] + 1, 1)
+    return order[kept]
 
 
 def skybands(rows: DataFrame, k: int) -> DataFrame:
-    """``lang, source, term, n, total``: of each partition and group, the terms that fewer than ``k`` others there dominate."""
+    """``lang, source, term, n, total``: of each partition and group, the terms that fewer than ``k`` others there dominate.
+
+    A group's rows stand together in a partition; a task holds those of one group, cut down again and again.
+    """
     names = ["lang", "source", "term", "n", "total"]
 
-    def cut(held: dict) -> dict:
-        out = {}
-        for group, (terms, n, total) in held.items():
-            own = skyband(np.array(n), np.array(total), terms, k)
-            out[group] = ([terms[i] for i in own], [n[i] for i in own], [total[i] for i in own])
-        return out
+    def cut(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        return rows.take(pa.array(skyband(rows.column("n").to_numpy(), rows.column("total").to_numpy(), rows.column("term"), k)))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[list, list, list]] = {}
-        size, bound = 0, HELD
+        group, held, size, bound = None, [], 0, HELD
         for batch in batches:
-            lang, source, _, n, total = (c.to_pylist() for c in batch.columns)
-            for *group, term, x, y in zip(lang, source, utf8(batch.column(2)), n, total, strict=True):
-                for column, value in zip(held.setdefault(tuple(group), ([], [], [])), (term, x, y), strict=True):
-                    column.append(value)
-            size += batch.num_rows
-            if size > bound:
-                held = cut(held)
-                size = sum(len(terms) for terms, _, _ in held.values())
-                bound = max(HELD, 2 * size)
-        for (lang, source), (terms, n, total) in cut(held).items():
-            terms = pa.array(terms, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), terms, pa.array(n, pa.int64()), pa.array(total, pa.int64())], names=names)
-
-    return rows.select(*names).mapInArrow(step, "lang STRING, source STRING, term STRING, n BIGINT, total BIGINT")
+            groups = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True))
+            begins = [i for i, x in enumerate(groups) if not i or x != groups[i - 1]]
+            for begin, end in zip(begins, [*begins[1:], len(groups)], strict=True):
+                if groups[begin] != group and held:
+                    yield cut(held)
+                    held, size, bound = [], 0, HELD
+                group = groups[begin]
+                held.append(batch.slice(begin, end - begin))
+                size += end - begin
+                if size > bound:
+                    held = [cut(held)]
+                    size = held[0].num_rows
+                    bound = max(HELD, 2 * size)
+        if held:
+            yield cut(held)
+
+    together = rows.select(*names).sortWithinPartitions("lang", "source")
+    return together.mapInArrow(step, "lang STRING, source STRING, term STRING, n BIGINT, total BIGINT")
 
 
 def share(n: Column, size: Column, terms: Column) -> Column:
@@ -173,8 +212,8 @@ def _pairs(kept: DataFrame, stats: DataFrame) -> DataFrame:
 
 def _top_terms(kept: DataFrame, stats: DataFrame, top: int) -> DataFrame:
     """``lang, source, item, value``: the terms of each group that its share exceeds the language's in, those that can be among the first ``top``."""
-    parts = skybands(kept, top).repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(PARTS)))
-    left = skybands(parts, top).join(stats, ["lang", "source"])
+    parts = skybands(kept.repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(PARTS))), top)
+    left = skybands(parts.repartition("lang", "source"), top).join(stats, ["lang", "source"])
     p, q = share(F.col("n"), F.col("size"), F.col("terms")), share(F.col("total"), F.col("lang_size"), F.col("terms"))
     told = left.select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q"))
     return told.where("p > q").select("lang", "source", "item", apart(F.col("p"), F.col("q")).alias("value"))
