@@ -1,6 +1,7 @@
 """Operator 6: base scores against plain Python, a normalised model, and a gain on held-out text."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -68,6 +69,40 @@ def test_held_out_text_gains(spark):
     assert sum(r.score for r in rows) / sum(r.n_tokens for r in rows) > sum(r.base_score for r in rows) / sum(r.n_tokens for r in rows) + 0.1
 
 
+def test_tokens_are_numbered_as_split():
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice([*" \t\n\x0b\x1c\x85", "a", "B", "é", "\u3000", "日"], rng.integers(0, 40))).encode() for _ in range(300)] + [b"", b" ", b"\n\n"]
+    codes, begins, words = lb.numbered(texts)
+    found = [words[i].as_py() for i in codes]
+    wanted = [w for t in texts for w in tokens(t.decode())]
+    assert found == wanted and begins.tolist() == np.cumsum([0] + [len(tokens(t.decode())) for t in texts])[:-1].tolist()
+
+
+def test_triples_of_runs_are_summed(spark, monkeypatch):
+    texts = [(r[1],) for r in documents()]
+    df = spark.createDataFrame(texts, "text STRING").coalesce(2)
+    classes = lb.Classes((b"a", b"two"), (b"aa", b"bb"))
+    whole = {r.triple: r.n for r in lb.triple_counts(df, classes).collect()}
+    monkeypatch.setattr(lb, "HELD_TRIPLES", 50)
+    assert {r.triple: r.n for r in lb.triple_counts(df, classes).collect()} == whole
+    assert sum(whole.values()) == sum(len(tokens(t)) for (t,) in texts)
+
+
+def test_a_worker_holds_one_table_of_pairs():
+    size = 1500
+    params = np.random.default_rng(3).normal(0, 0.3, 2 * size * lb.WIDTH + 2 * lb.WIDTH + size)
+    tracemalloc.start()
+    ready = lb.scorer(params, size)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 4.5 * size * size and most < 13 * size * size
+    context, target, scale, bias = lb._parts(params, size)
+    triples = np.random.default_rng(4).integers(0, size, (50, 3)) % (size - 1)
+    for (first, second, own), got in zip(triples, lb.log_probability(ready, (triples[:, 0] * size + triples[:, 1]) * size + triples[:, 2])):
+        p = np.exp(target @ (context[first] * scale[0] + context[second] * scale[1]) + bias)[: size - 1]
+        assert got == pytest.approx(np.log10(p[own] / p.sum()), abs=1e-4)
+
+
 def test_empty_tables(spark):
     assert lb.with_scores(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = lb.with_scores(spark.createDataFrame([(None, "a b")], "doc_id BIGINT, text STRING")).collect()
@@ -111,7 +146,7 @@ def test_steps_tasks_and_top_words_grow(spark, monkeypatch):
     assert len(model.classes.words) == int(counts.count() ** 0.5) > 5
 
 
-def test_pair_tables_equal_the_plain_softmax():
+def test_scores_equal_the_plain_softmax():
     size, rng = 7, np.random.default_rng(5)
     params = rng.normal(0, 1, 2 * size * lb.WIDTH + 2 * lb.WIDTH + size)
     context, target, scale, bias = lb._parts(params, size)

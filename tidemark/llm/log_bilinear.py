@@ -7,10 +7,10 @@ a bias. A word has the probability of its class times its smoothed share of that
 seen included, have probability 1.
 
 Counts of words and of class triples are taken over all training text by Spark. Training runs in rounds on the table
-of triples: each task takes steps over all of its own part, every triple with its whole count, and the parameters are
-averaged; tasks and steps grow with the table. A score is a sum of two parts, one for each word of the context, so one
-matrix product gives the normalisers of all contexts once in a worker, and scoring a text is looking up three tables of
-pairs of classes.
+of triples, which is dealt out and written once: steps are taken over each part of it, every triple with its whole
+count, and the parameters are averaged; parts and steps grow with the table. A score is a sum of two parts, one for each
+word of the context, so products of matrices, a block of rows at a time, give the normalisers of all contexts once in a
+worker; they are the only table of pairs of classes. Tokens are split, numbered and classed by Arrow, a batch at once.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ WIDTH, NOISE, BATCH, STEPS, ROUNDS, PARTS = 24, 64, 2048, 250, 3, 6  # steps and
 PART_TRIPLES = 1 << 20  # different triples in a part
 END = b" "  # the end of a text; no word holds a blank
 FLUSH = 200_000  # distinct words that a task counts before it passes them on
+HELD_TRIPLES = 1 << 21  # triples that a task holds before it brings equal ones together and passes them on
+ROWS, TOKENS = 256, 8192  # of the normalisers and of a text, worked out at a time
 
 
 @dataclass(frozen=True)
@@ -63,34 +66,47 @@ class Classes:
 
 
 @lru_cache(maxsize=2)
-def _lookup(classes: Classes) -> tuple[dict[bytes, int], dict[bytes, int]]:
-    words = {w: i for i, w in enumerate(classes.words)}
-    words[END] = classes.end
-    return words, {e: i + len(classes.words) for i, e in enumerate(classes.endings)}
+def _lookup(classes: Classes) -> tuple[pa.Array, pa.Array]:
+    return pa.array(classes.words, pa.binary()), pa.array(classes.endings, pa.binary())
 
 
 def tokens_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Tokens of all texts as numbers of distinct words, the place where each text begins, and the words."""
-    ids: dict[bytes, int] = {}
-    codes, begins = [], []
-    for text in texts:
-        begins.append(len(codes))
-        codes += [ids.setdefault(w, len(ids)) for w in tokens_of(text)]
-    return np.array(codes, np.int64), np.array(begins, np.int64), list(ids)
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Tokens of all texts as numbers of distinct words, the place where each text begins, and the words. The last word is the end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).cast(pa.string())))
+    flat = lists.flatten()
+    real = pc.not_equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)  # blanks at the ends leave empty ones
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())[real]
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    sizes = np.bincount(owner, minlength=len(texts)) + 1
+    begins = np.cumsum(sizes) - sizes
+    codes = np.full(int(sizes.sum()), len(coded.dictionary), np.int64)
+    codes[np.arange(len(owner)) + owner] = coded.indices.to_numpy()
+    return codes, begins, pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
 
 
-def class_triples(codes: np.ndarray, begins: np.ndarray, words: list[bytes], classes: Classes) -> np.ndarray:
-    """Per token the number of its triple: the classes of the two tokens before it and its own."""
+def _own_classes(words: pa.Array, classes: Classes) -> np.ndarray:
+    """The class of each of ``words``, the last of which is the end."""
     top, endings = _lookup(classes)
-    own = np.array([top[w] if w in top else endings.get(w[-ENDING:], classes.other) for w in words], np.int64)[codes]
+    tails = pc.binary_slice(words, -ENDING, None)
+    by_word, by_ending = (pc.fill_null(pc.index_in(x, value_set=y), -1).to_numpy() for x, y in ((words, top), (tails, endings)))
+    own = np.where(by_word >= 0, by_word, np.where(by_ending >= 0, by_ending + len(top), classes.other)).astype(np.int64)
+    own[-1] = classes.end
+    return own
+
+
+def class_triples(codes: np.ndarray, begins: np.ndarray, words: pa.Array, classes: Classes) -> np.ndarray:
+    """Per token the number of its triple: the classes of the two tokens before it and its own."""
+    own = _own_classes(words, classes)[codes]
     first, second = np.roll(own, 2), np.roll(own, 1)
     first[begins] = second[begins] = classes.start
     after = begins + 1
-    after = after[(after < len(own)) & ~np.isin(after, begins)]
+    is_begin = np.zeros(len(own) + 1, bool)
+    is_begin[begins] = True
+    after = after[(after < len(own)) & ~is_begin[after]]
     first[after] = classes.start
     return (first * classes.size + second) * classes.size + own
 
@@ -114,15 +130,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(step, "word BINARY, n BIGINT").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    triples, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(triples)
+    triples, n = triples[order], n[order]
+    begin = np.flatnonzero(np.r_[True, triples[1:] != triples[:-1]])
+    return pa.RecordBatch.from_arrays([pa.array(triples[begin]), pa.array(np.add.reduceat(n, begin))], names=["triple", "n"])
+
+
 def triple_counts(texts: DataFrame, classes: Classes) -> DataFrame:
     """``triple, n`` over the column ``text``: at most the cube of the number of classes."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             bodies = utf8(batch.column(0))
             for begin, end in runs_of(bodies):
                 found, n = np.unique(class_triples(*numbered(bodies[begin:end]), classes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["triple", "n"])
+                held.append((found, n.astype(np.int64)))
+                size += len(found)
+                if size > HELD_TRIPLES:
+                    yield _summed(held)
+                    held, size = [], 0
+        if held:
+            yield _summed(held)
 
     return texts.select("text").mapInArrow(step, "triple BIGINT, n BIGINT").groupBy("triple").agg(F.sum("n").alias("n"))
 
@@ -156,37 +187,46 @@ def nce_steps(params: np.ndarray, size: int, triples: np.ndarray, n: np.ndarray,
     Every triple takes part with its whole count. There are ``steps`` steps for the mass and more by the number of triples.
     """
     rng = np.random.default_rng(seed)
-    params, squares = params.copy(), np.full(len(params), 1e-2)
-    context, target, scale, bias = _parts(params, size)
+    # Steps are worked out in single precision and added up in double: the least of them leaves its mark.
+    params, current, squares = params.copy(), params.astype(np.float32), np.full(len(params), 1e-2, np.float32)
+    context, target, scale, bias = _parts(current, size)
+    slope, square = np.zeros_like(params), np.empty_like(params)
+    to_context, to_target, to_scale, to_bias = _parts(slope, size)
     entries, weights = shares_of(n, BATCH * steps, rng)
-    weights /= weights.mean()
-    log_noise, noise_sum, columns = np.log(NOISE * noise), np.cumsum(noise), np.arange(WIDTH)
+    weights = (weights / weights.mean()).astype(np.float32)
+    log_noise, noise_sum, columns = np.log(NOISE * noise).astype(np.float32), np.cumsum(noise), np.arange(WIDTH)
 
     def summed(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
         return np.bincount((rows[:, None] * WIDTH + columns).ravel(), values.ravel(), size * WIDTH).reshape(size, WIDTH)
 
-    for at in range(0, len(entries), BATCH):
-        pick, weight = triples[entries[at : at + BATCH]], weights[at : at + BATCH]
-        first, second, own = pick // (size * size), pick // size % size, pick % size
-        drawn = np.searchsorted(noise_sum, rng.random(NOISE)).clip(max=size - 1)
-        a, b = context[first], context[second]
-        h = a * scale[0] + b * scale[1]
-        s = (h * target[own]).sum(axis=1) + bias[own] - log_noise[own]
-        t = h @ target[drawn].T + bias[drawn] - log_noise[drawn]
-        up = weight / (1 + np.exp(np.clip(s, -30, 30)))
-        down = -weight[:, None] / (1 + np.exp(np.clip(-t, -30, 30)))
-        slope = np.zeros_like(params)
-        to_context, to_target, to_scale, to_bias = _parts(slope, size)
-        to_h = up[:, None] * target[own] + down @ target[drawn]
-        to_target += summed(own, up[:, None] * h)
-        np.add.at(to_target, drawn, down.T @ h)
-        to_bias += np.bincount(own, up, size)
-        np.add.at(to_bias, drawn, down.sum(axis=0))
-        to_context += summed(np.r_[first, second], np.r_[to_h * scale[0], to_h * scale[1]])
-        to_scale[0], to_scale[1] = (to_h * a).sum(axis=0), (to_h * b).sum(axis=0)
-        slope /= BATCH
-        squares += slope * slope
-        params += rate * slope / np.sqrt(squares)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(entries), BATCH):
+            pick, weight = triples[entries[at : at + BATCH]], weights[at : at + BATCH, None]
+            pair, own = np.divmod(pick, size)
+            first, second = np.divmod(pair, size)
+            drawn = np.searchsorted(noise_sum, rng.random(NOISE)).clip(max=size - 1)
+            a, b, near, level = context[first], context[second], target[own], bias - log_noise
+            h = a * scale[0] + b * scale[1]
+            up = weight / (1 + np.exp(np.einsum("nd,nd->n", h, near) + level[own]))[:, None]
+            down = h @ target[drawn].T
+            down += level[drawn]
+            np.exp(np.negative(down, out=down), out=down)
+            down += 1
+            np.divide(-weight, down, out=down)
+            to_h = up * near
+            to_h += down @ target[drawn]
+            to_target[:] = summed(own, up * h)
+            np.add.at(to_target, drawn, down.T @ h)
+            to_bias[:] = np.bincount(own, up[:, 0], size)
+            np.add.at(to_bias, drawn, down.sum(axis=0))
+            to_context[:] = summed(np.r_[first, second], np.concatenate([to_h * scale[0], to_h * scale[1]]))
+            to_scale[0], to_scale[1] = np.einsum("nd,nd->d", to_h, a), np.einsum("nd,nd->d", to_h, b)
+            slope /= BATCH
+            squares += np.multiply(slope, slope, out=square)
+            slope *= rate
+            slope /= np.sqrt(squares, out=square)
+            params += slope
+            current[:] = params
     return params
 
 
@@ -196,19 +236,28 @@ def trained(triples: DataFrame, classes: Classes, mass: np.ndarray, rounds: int
     noise = np.exp(_parts(params, classes.size)[3])
     size = classes.size
     parts = max(PARTS, -(-triples.count() // PART_TRIPLES))
+    dealt = written(triples.repartition(parts).sortWithinPartitions("triple"), "dealt")
 
     for turn in range(rounds):
 
-        def step(batches: Iterator[pa.RecordBatch], start: np.ndarray = params, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-            triple, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            if not len(triple):
-                return
+        def passed(held: list[pa.RecordBatch], start: np.ndarray, turn: int) -> pa.RecordBatch:
+            triple, n = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
             new = nce_steps(start, size, triple, n, noise, STEPS, turn * 1000 + int(triple[0] % 997), 0.1 / (1 + turn))
             weight = float(n.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(new))), pa.array(new * weight), pa.array(np.full(len(new), weight))], names=["at", "v", "w"])
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(len(new))), pa.array(new * weight), pa.array(np.full(len(new), weight))], names=["at", "v", "w"])
 
-        moved = triples.repartition(parts).sortWithinPartitions("triple").mapInArrow(step, "at BIGINT, v DOUBLE, w DOUBLE")
+        def step(batches: Iterator[pa.RecordBatch], start: np.ndarray = params, turn: int = turn) -> Iterator[pa.RecordBatch]:
+            held, rows = [], 0
+            for batch in batches:
+                held.append(batch)
+                rows += batch.num_rows
+                if rows >= PART_TRIPLES:
+                    yield passed(held, start, turn)
+                    held, rows = [], 0
+            if rows:
+                yield passed(held, start, turn)
+
+        moved = dealt.mapInArrow(step, "at BIGINT, v DOUBLE, w DOUBLE")
         rows = moved.groupBy("at").agg((F.sum("v") / F.sum("w")).alias("v")).collect()
         if rows:
             params = params.copy()
@@ -216,20 +265,43 @@ def trained(triples: DataFrame, classes: Classes, mass: np.ndarray, rounds: int
     return params
 
 
-def pair_tables(params: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tables by pairs of classes: what the first and what the second of a context add to the log10 score of a class, and the normaliser of a context."""
-    context, target, scale, bias = _parts(params, size)
-    far, near = (context * scale[0]) @ target.T, (context * scale[1]) @ target.T + bias
-    near[:, size - 1] = -np.inf  # a start is never predicted
-    high, low = far.max(axis=1, keepdims=True), near.max(axis=1, keepdims=True)
-    total = np.log(np.exp(far - high) @ np.exp(near - low).T) + high + low.T
-    return tuple((x / np.log(10)).astype(np.float32) for x in (far, near, total))
+def scorer(params: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors of the first and of the second class of a context, of the class that follows with its bias, and the logarithms
+    of the normalisers by context, which are the only table of pairs."""
+    context, target, scale, bias = (x.astype(np.float32) for x in _parts(params, size))
+    far, near = context * scale[0], np.c_[context * scale[1], np.ones(size, np.float32)]
+    to = np.c_[target, bias]
+    # A start is never predicted.
+    second = near @ to[: size - 1].T
+    low = second.max(axis=1)
+    second = np.exp(np.subtract(second, low[:, None], out=second), out=second)
+    total = np.empty((size, size), np.float32)
+    for at in range(0, size, ROWS):
+        first = far[at : at + ROWS] @ target[: size - 1].T
+        high = first.max(axis=1, keepdims=True)
+        total[at : at + ROWS] = np.log(np.maximum(np.exp(first - high) @ second.T, np.finfo(np.float32).tiny)) + high + low
+    return np.c_[far, np.zeros(size, np.float32)], near, to, total
+
+
+def log_probability(model: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], triples: np.ndarray) -> np.ndarray:
+    """log10 probability of the last class of each triple after the two before it; normalised over the classes."""
+    far, near, to, total = model
+    pair, own = np.divmod(triples, len(total))
+    first, second = np.divmod(pair, len(total))
+    found = -total.ravel()[pair]
+    for at in range(0, len(found), TOKENS):
+        part = slice(at, at + TOKENS)
+        h = far[first[part]]
+        h += near[second[part]]
+        found[part] += np.einsum("nd,nd->n", h, to[own[part]])
+    return found * np.float32(1 / np.log(10))
 
 
 def log_probabilities(params: np.ndarray, size: int) -> np.ndarray:
-    """log10 probability of each class after each pair of classes, by number of triple; normalised over the classes."""
-    far, near, total = pair_tables(params, size)
-    return (far[:, None, :] + near[None, :, :] - total[:, :, None]).ravel()
+    """log10 probability of each class after each pair of classes, by number of triple; that of a start is left at any value."""
+    found = log_probability(scorer(params, size), np.arange(size**3))
+    found[size - 1 :: size] = -np.inf
+    return found
 
 
 @dataclass(frozen=True)
@@ -247,15 +319,10 @@ class Model:
 
 
 @lru_cache(maxsize=1)
-def _ready(model: Model) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], dict[bytes, int]]:
-    size = model.classes.size
-    far, near, total = pair_tables(np.frombuffer(model.params), size)
-    near[:, : size - 1] -= np.array(model.shares, np.float32)
-    counts = {}
-    for line in model.frequent.split(b"\n")[:-1]:
-        word, _, n = line.rpartition(b"\t")
-        counts[word] = int(n)
-    return (far, near, total), counts
+def _ready(model: Model) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray, pa.Array, np.ndarray]:
+    lines = [line.rpartition(b"\t") for line in model.frequent.split(b"\n")[:-1]]
+    words, counts = pa.array([w for w, _, _ in lines], pa.binary()), np.array([*[int(n) for _, _, n in lines], 0], np.int64)
+    return scorer(np.frombuffer(model.params), model.classes.size), np.r_[model.shares, 0], words, counts
 
 
 def learn(texts: DataFrame) -> tuple[Model, DataFrame]:
@@ -292,23 +359,21 @@ def scored_parts(docs: DataFrame, model: Model) -> DataFrame:
     """``id`` with its tokens, what frequent words give, the model's gain over the base, and its other words with how often they occur."""
 
     def values(texts: list[bytes]) -> list[pa.Array]:
-        (far, near, total), counts = _ready(model)
-        size = model.classes.size
+        ready, shares, frequent, counts = _ready(model)
         parts = []
         for begin, end in runs_of(texts):
             codes, begins, words = numbered(texts[begin:end])
-            n = np.array([counts.get(w, 0) for w in words], np.int64)
+            n = counts[pc.fill_null(pc.index_in(words, value_set=frequent), -1).to_numpy()]
             each = np.where(n > 0, np.log10(n + SMOOTHING), 0.0)[codes]
             known = (n > 0)[codes]
             sizes = np.diff(np.r_[begins, len(codes)])
-            pair, own = np.divmod(class_triples(codes, begins, words, model.classes), size)
-            first, second = np.divmod(pair, size)
-            better = far[first, own].astype(np.float64) + near[second, own] - total[first, second]
+            triples = class_triples(codes, begins, words, model.classes)
+            better = log_probability(ready, triples).astype(np.float64) - shares[triples % len(shares)]
             at = np.flatnonzero(~known)
             owner = np.repeat(np.arange(len(begins)), sizes)[at]
             pairs, times = np.unique(owner * len(words) + codes[at], return_counts=True)
             ends = np.searchsorted(pairs, np.arange(len(begins) + 1) * len(words)).astype(np.int32)
-            entries = pa.StructArray.from_arrays([pa.array([words[i] for i in pairs % len(words)], pa.binary()), pa.array(times.astype(np.int32))], names=["word", "times"])
+            entries = pa.StructArray.from_arrays([words.take(pa.array(pairs % len(words))), pa.array(times.astype(np.int32))], names=["word", "times"])
             parts.append((sizes, np.add.reduceat(known.astype(np.int64), begins), np.add.reduceat(each, begins), np.add.reduceat(better, begins), pa.ListArray.from_arrays(pa.array(ends), entries)))
         if not parts:
             return [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64()), pa.array([], pa.float64()), pa.array([], pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())])))]
