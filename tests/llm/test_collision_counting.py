@@ -50,7 +50,8 @@ def test_windows_miss_nothing_within_reach(width):
     for i in range(0, 500, 25):
         apart = np.sqrt(np.maximum(0, 2 - 2 * cc.cosines(block.vectors, block.vectors[i])))
         for reach in (0.1, 0.5, 1.0, 1.9):
-            assert set(np.flatnonzero(apart <= reach)) <= set(block.collided(along[i], reach).tolist())
+            (places,) = block.collided(along[i : i + 1], np.array([reach]))
+            assert set(np.flatnonzero(apart <= reach)) <= set(places.tolist())
 
 
 def test_windows_leave_out_what_is_far():
@@ -60,8 +61,8 @@ def test_windows_leave_out_what_is_far():
     points = np.repeat(base, 10, axis=0) + 0.25 * rng.standard_normal((4000, 64))
     block = cc.Index(points, [[i] for i in range(4000)])
     along = cc.unit(block.vectors) @ cc.directions(64)
-    assert np.mean([len(block.collided(along[i], 0.4)) for i in range(0, 4000, 100)]) < 12
-    places, _, needed = block.search(block.vectors[0], np.inf, 6)
+    assert np.mean([len(x) for x in block.collided(along[::100], np.full(40, 0.4))]) < 12
+    ((places, _, needed),) = block.search(block.vectors[:1], np.array([np.inf]), 6)
     assert set(places.tolist()) <= set(range(10)) and needed < 0.5
 
 

@@ -7,9 +7,9 @@ after it. As the squares of all differences add up to at most the squared distan
 distance of the query has to gather a certain weight of collisions: those that do are verified by cosine, and no other can
 be that near.
 
-A query begins in one block, where its reach grows (virtual rehashing: the same sorted arrays, wider windows) until as
-many vectors as are asked for lie within it. Every other block opens its windows for that reach only. So the answer
-is exact; what the windows save depends on how much nearer the neighbours are than the rest.
+A query begins in one block, with narrow windows: the vectors of most weight there show how far as many as are asked
+for surely lie. For that reach the windows of the same sorted arrays are widened (virtual rehashing), there and in every
+other block. So the answer is exact; what the windows save depends on how much nearer the neighbours are than the rest.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from tidemark.llm.common import written
 
 NEAREST, EVERY = 5, 50
 BLOCK, CHUNK = 8192, 128  # vectors of a block, queries that are sent to a block together
-PROJECTIONS, LEVELS, SPREAD = 256, 24, 3.0  # at most; windows end at SPREAD times the mean difference of a vector within reach
-FIRST_REACH, GROWTH, FARTHEST = 0.25, 2**0.5, 2.0
-_SLACK = 1e-9  # more than rounding can do to a projection
+PROJECTIONS, LEVELS, SPREAD = 256, 16, 3.0  # at most; windows end at SPREAD times the mean difference of a vector within reach
+FIRST_REACH, FIRST_TRIED, FARTHEST = 0.25, 8, 2.0  # of the rows asked for, FIRST_TRIED times as many are tried at first
+_SLACK, _LEAST_REACH = 1e-9, 1e-6  # more than rounding can do to a projection, and far more
 _PLAIN = 1e60  # squares and products of components between 1 / _PLAIN and _PLAIN stay finite
 
 
@@ -39,14 +39,13 @@ def plain_scale(vectors: np.ndarray) -> np.ndarray:
     return np.where((most > _PLAIN) | (most < 1 / _PLAIN), vectors / most, vectors)
 
 
+def summed(x: np.ndarray) -> np.ndarray:
+    """Sums of the rows, from the first component to the last, so that they are the same wherever they are taken."""
+    return np.cumsum(x, axis=-1)[..., -1]
+
+
 def cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine of each row with ``query``, summed from the first component to the last, so that it is the same wherever it is taken."""
-    dot, own, other = np.zeros(len(vectors)), np.zeros(len(vectors)), 0.0
-    for x, y in zip(vectors.T, query, strict=True):
-        dot += x * y
-        own += x * x
-        other += y * y
-    return np.clip(dot / np.sqrt(own * other), -1, 1)
+    return np.clip(summed(vectors * query) / np.sqrt(summed(vectors * vectors) * summed(query * query)), -1, 1)
 
 
 @lru_cache(maxsize=4)
@@ -67,42 +66,53 @@ class Index:
         self.first = np.array([x[0] for x in ids], np.int64)
         self.rows = np.array([len(x) for x in ids], np.int64)
         along = unit(self.vectors) @ directions(vectors.shape[1])
-        self.order = np.ascontiguousarray(np.argsort(along, axis=0).T.astype(np.int32))
+        self.order = np.ascontiguousarray(np.argsort(along, axis=0).T)
         self.values = np.ascontiguousarray(np.sort(along, axis=0).T)
 
-    def collided(self, along: np.ndarray, reach: float) -> np.ndarray:
-        """Places of all vectors that can lie within ``reach`` of the query, whose projections are ``along``."""
+    def gathered(self, along: np.ndarray, reach: np.ndarray) -> Iterator[np.ndarray]:
+        """For each query, by its projections ``along`` and its reach, the weight that each vector gathers, in squares of the reach."""
         m, width = len(self.values), self.vectors.shape[1]
-        windows = np.linspace(0, SPREAD * reach / np.sqrt(width), LEVELS + 1)[1:]
-        squares = np.r_[0, windows[:-1]] ** 2
-        last = windows[-1] ** 2
-        # Weights from the outer left step over the inner one, which both sides share, to the outer right one.
-        weights = last - np.r_[squares[::-1], squares[1:]]
-        edges = np.r_[-windows[::-1] - _SLACK, windows + _SLACK]
-        gathered = np.zeros(len(self.first))
-        for values, order, x in zip(self.values, self.order, along, strict=True):
-            at = np.searchsorted(values, x + edges)
-            gathered[order[at[0] : at[-1]]] += np.repeat(weights, np.diff(at))
-        return np.flatnonzero(gathered >= m * last - reach * reach - 1e-6)
-
-    def within(self, query: np.ndarray, along: np.ndarray, reach: float, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """The best classes within ``reach``, as many as ``rows`` rows need, with their scores; best first, ties by smallest id."""
-        places = self.collided(along, reach)
+        windows = np.arange(1, LEVELS + 1) * (SPREAD / LEVELS / np.sqrt(width))
+        inner = np.r_[0, windows[:-1]] ** 2
+        # From the outer left step over the inner one, which both sides share, to the outer right one.
+        weights = np.tile(windows[-1] ** 2 - np.r_[inner[::-1], inner[1:]], m)
+        edges = np.r_[-windows[::-1], windows] * reach[:, None] + np.r_[[-_SLACK] * LEVELS, [_SLACK] * LEVELS]
+        at = np.stack([np.searchsorted(values, x[:, None] + edges) for values, x in zip(self.values, along.T, strict=True)])
+        for own in at.transpose(1, 0, 2):
+            places = np.concatenate([order[x[0] : x[-1]] for order, x in zip(self.order, own, strict=True)])
+            yield np.bincount(places, np.repeat(weights, np.diff(own).ravel()), len(self.first))
+
+    def collided(self, along: np.ndarray, reach: np.ndarray) -> Iterator[np.ndarray]:
+        """For each query the places of all vectors that can lie within its reach."""
+        most = len(self.values) * SPREAD**2 / self.vectors.shape[1]
+        for weight in self.gathered(along, np.maximum(reach, _LEAST_REACH)):
+            yield np.flatnonzero(weight >= most - 1 - 1e-6)
+
+    def best(self, places: np.ndarray, query: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of ``places`` the best classes, as many as ``rows`` rows need, with their scores; best first, ties by smallest id."""
         scores = cosines(self.vectors[places], query)
-        best = np.lexsort((self.first[places], -scores))[:rows]
-        return places[best], scores[best]
-
-    def search(self, query: np.ndarray, reach: float, rows: int) -> tuple[np.ndarray, np.ndarray, float]:
-        """As ``within``; with no finite ``reach`` it grows until ``rows`` rows lie in it. Last: the distance that holds that many, or infinity."""
-        along = (unit(query[None, :]) @ directions(len(query)))[0]
-        at = reach if np.isfinite(reach) else FIRST_REACH
-        while True:
-            places, scores = self.within(query, along, at, rows)
+        order = np.lexsort((self.first[places], -scores))[:rows]
+        return places[order], scores[order]
+
+    def surely(self, queries: np.ndarray, along: np.ndarray, rows: int) -> np.ndarray:
+        """For each query a distance within which ``rows`` rows lie, or the farthest there is."""
+        reach = np.full(len(queries), FARTHEST)
+        tried = min(len(self.first), FIRST_TRIED * rows)
+        for i, weight in enumerate(self.gathered(along, np.full(len(queries), FIRST_REACH))):
+            places, scores = self.best(np.argpartition(-weight, tried - 1)[:tried], queries[i], rows)
             held = np.cumsum(self.rows[places]) >= rows
-            needed = float(np.sqrt(max(0.0, 2 - 2 * scores[held.argmax()]))) + _SLACK if held.any() else np.inf
-            if np.isfinite(reach) or needed <= at or at >= FARTHEST + _SLACK:
-                return places, scores, needed
-            at = min(at * GROWTH, FARTHEST + 2 * _SLACK)
+            if held.any():
+                reach[i] = np.sqrt(max(0.0, 2 - 2 * scores[held.argmax()]))
+        return reach + 2 * _SLACK
+
+    def search(self, queries: np.ndarray, reach: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        """For each query the best classes within its reach, their scores, and a distance within which ``rows`` rows surely lie; a
+        reach that is not finite is found first."""
+        along = unit(queries) @ directions(queries.shape[1])
+        if not np.isfinite(reach).all():
+            reach = np.where(np.isfinite(reach), reach, self.surely(queries, along, rows))
+        for query, places, at in zip(queries, self.collided(along, reach), reach, strict=True):
+            yield *self.best(places, query, rows), float(at)
 
 
 def usable(vector: str) -> Column:
@@ -135,9 +145,8 @@ def _searched(index: DataFrame, asks: DataFrame, rows: int) -> DataFrame:
 
     def answers(block: Index, own: dict[int, int], width: int, queries: pa.Array) -> Iterator[pa.RecordBatch]:
         out = ([], [], [], [], [])
-        vectors = plain_scale(_matrix(queries.field("vector"), width))
-        for query, vector, reach in zip(queries.field("id").to_pylist(), vectors, queries.field("reach").to_pylist(), strict=True):
-            places, scores, needed = block.search(vector, reach, rows)
+        found = block.search(plain_scale(_matrix(queries.field("vector"), width)), queries.field("reach").to_numpy(), rows)
+        for query, (places, scores, needed) in zip(queries.field("id").to_pylist(), found, strict=True):
             for place, score in zip(places.tolist(), scores.tolist(), strict=True):
                 for column, value in zip(out, (query, block.ids[place], score, own.get(query) == place, needed), strict=True):
                     column.append(value)
@@ -194,7 +203,7 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     first = query.withColumn("reach", F.lit(float("inf"))).groupBy("width", "blocks", "chunk").agg(packed).withColumn("block", home)
     found = written(_searched(dealt, first, k + 1), "home")
     reach = found.groupBy(F.col("query").alias("id")).agg(F.min("needed").alias("reach"))
-    bounded = query.join(reach, "id", "left").withColumn("reach", F.coalesce(F.least("reach", F.lit(FARTHEST)), F.lit(FARTHEST)) + 2 * _SLACK)
+    bounded = query.join(reach, "id", "left").withColumn("reach", F.coalesce("reach", F.lit(FARTHEST + 2 * _SLACK)))
     others = bounded.groupBy("width", "blocks", "chunk").agg(packed).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block")).where(F.col("block") != home)
     found = found.unionByName(written(_searched(dealt, others, k + 1), "others"))
 
