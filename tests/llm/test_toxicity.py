@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 
@@ -69,11 +70,65 @@ def test_the_densest_window_of_a_long_text_is_found():
     assert tx.features(text, lexicon, {})[4] == pytest.approx(math.log(1 + 3))
 
 
-def test_longer_stems_use_no_entries_and_no_near_miss_is_dropped(spark, monkeypatch):
-    monkeypatch.setattr(tx, "ENTRIES", 4)
+def plain_features(text, lexicon):
+    words = tx._WORD.findall(text.lower())
+    parts = tx._PART.findall(text.lower())
+    hits, marks, at = [], [], 0
+    for part in parts:
+        if part in tx._MARKS:
+            marks.append(at)
+        else:
+            weight, near = lexicon.find(part)
+            if weight:
+                hits.append((at, weight, near))
+            at += 1
+    sums = [0.0, 0.0, 0.0]
+    for place, weight, near in hits:
+        before = any(place - tx.WINDOW <= m <= place for m in marks)
+        after = any(place < m <= place + tx.WINDOW + 1 for m in marks)
+        sums[1 if before and after else 2 if near else 0] += weight
+    close = max((sum(abs(p - q) <= tx.WINDOW for q, _, _ in hits) for p, _, _ in hits), default=0)
+    share = 100 * len(hits) / len(words) if words else 0
+    return [1.0, *map(math.log1p, sums), math.log1p(close), math.log1p(share), math.log(1 + len(words)) / 10]
+
+
+def test_features_equal_plain_counting():
+    rng = random.Random(9)
+    lexicon = tx.Lexicon((("idiot", False, 3.0), ("moronic", False, 2.0), ("scum", True, 4.0)), frozenset({"moronix"}))
+    pool = ["idiot", "moronic", "moroni", "moronix", "scumbag", "word", "a", '"', "“", "”", "«", ",", "Über"]
+    for _ in range(400):
+        text = " ".join(rng.choices(pool, [1, 1, 1, 1, 1, 9, 9, 2, 1, 1, 1, 3, 3], k=rng.randint(0, 120)))
+        assert tx.features(text, lexicon, {}) == pytest.approx(plain_features(text, lexicon))
+
+
+def test_many_quoted_hits_take_little_time():
+    lexicon = tx.Lexicon((("idiot", False, 3.0),))
+    start = time.perf_counter()
+    found = tx.features('he said "idiot" and ' * 100_000, lexicon, {})
+    assert time.perf_counter() - start < 2 and found[2] > 0 == found[1]
+
+
+def test_the_sample_is_that_of_the_lowest_hashes(spark):
+    rows = [(i, f"text {i}", 1 if i % 7 == 0 else 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic INT")
+    got = tx.labelled_sample(df, df, "doc_id", "text", "toxic", each=50).collect()
+    lots = {r.doc_id: r.h for r in df.selectExpr("doc_id", "xxhash64('toxic', doc_id) h").collect()}
+    for label in (0, 1):
+        wanted = sorted((i for i, _, x in rows if x == label), key=lots.__getitem__)[:50]
+        assert sorted(r.id for r in got if r.toxic == label) == sorted(wanted)
+
+
+def test_all_terms_that_pass_are_entries(spark):
+    words = [f"{a}{b}{c}qq" for a in "bcdfghklmn" for b in "aeiou" for c in "prstvwxyz"]
+    rows = [(i, " ".join(words), 1) for i in range(40)] + [(i, "harmless text", 0) for i in range(40, 120)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic INT")
+    model = tx.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert {e[0] for e in model["entries"] if not e[1]} == set(words)
+
+
+def test_longer_stems_use_no_entries_and_no_near_miss_is_dropped(spark):
     letters = "cefghijklmnpqstuvy"
     near = {x for c in letters for x in (f"{c}adwordx", f"b{c}dwordx", f"ba{c}wordx", f"{c}badwordx", f"b{c}adwordx", f"ba{c}dwordx")}
-    assert len(near) > 20 * tx.ENTRIES
     rows = [(i, "badwordx zzzzqq", 1) for i in range(40)] + [(i, " ".join(sorted(near)), 0) for i in range(40, 120)]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic INT")
     model = tx.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))

@@ -24,7 +24,6 @@ from tidemark.llm.common import add_text_columns, id_crc32, utf8, written
 
 FOLDS, HELD_OUT = 5, 0
 SAMPLE_EACH = 6000  # labelled documents of each label that are learned from
-ENTRIES = 2000  # most entries of the lexicon
 STEM = range(4, 8)  # lengths of stems
 FUZZY_FROM = 6  # words of so many letters are also found within one edit
 CHANCE = 1e-4  # of an entry of that frequency having met toxic texts alone by luck
@@ -141,13 +140,15 @@ def features(text: str, lexicon: Lexicon, memo: dict[str, tuple[float, bool]]) -
         weight, fuzzy = memo.get(part) or lexicon.find(part)
         if weight:
             places.append(at)
-            hits.append((at, weight, fuzzy))
+            hits.append((weight, fuzzy))
         at += 1
-    marks_, places_ = np.array(marks), np.array(places)
-    for place, weight, fuzzy in hits:
-        before = np.any((marks_ <= place) & (marks_ >= place - WINDOW)) if marks else False
-        after = np.any((marks_ > place) & (marks_ <= place + WINDOW + 1)) if marks else False
-        if before and after:
+    # A hit is quoted if marks stand within the window on either side; both lists are in order.
+    marks_, places_ = np.array(marks, np.int64), np.array(places)
+    here = np.searchsorted(marks_, places_, side="right")
+    before = here > np.searchsorted(marks_, places_ - WINDOW)
+    after = here < np.searchsorted(marks_, places_ + WINDOW + 1, side="right")
+    for (weight, fuzzy), between in zip(hits, (before & after).tolist(), strict=True):
+        if between:
             quoted += weight
         elif fuzzy:
             near += weight
@@ -184,10 +185,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     """``id, text, toxic`` of up to ``each`` documents a label, picked by a hash of the id. The bound makes all that is learned from small.
 
     An id with several labels counts as toxic if one says so; of several texts with one id, the first in order is taken.
+    Each task leaves out the ids whose hash is surely too high, so only about the bound is ranked in one place.
     """
     known = labels.where(F.col(toxic).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.max(toxic).alias("toxic"))
-    lot = Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit("toxic"), F.col("id")), "id")
-    chosen = known.withColumn("n", F.row_number().over(lot)).where(F.col("n") <= each).select("id", "toxic")
+    known = known.withColumn("hash", F.xxhash64(F.lit("toxic"), F.col("id")))
+    sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    share = {x: min(1.0, (each + 10 * each**0.5 + 10) / n) for x, n in sizes.items()}
+    below = F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
+    low = known.where(F.col("hash") / float(1 << 64) + 0.5 <= below)
+    lot = Window.partitionBy("toxic").orderBy("hash", "id")
+    chosen = low.withColumn("n", F.row_number().over(lot)).where(F.col("n") <= each).select("id", "toxic")
     chosen = written(chosen, "chosen")
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(chosen, "id")
     return written(rows.groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "sample")
@@ -224,7 +231,8 @@ def _without_longer_stems(terms: DataFrame) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> dict:
-    """The model: lexicon, harmless near-misses and regression weights. What comes to the driver is bounded by ``ENTRIES`` and the sample."""
+    """The model: lexicon, harmless near-misses and regression weights. All terms that pass the test are entries; the sample bounds
+    them and all else that comes to the driver."""
     sample = labelled_sample(docs, labels, doc_id, text, toxic)
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
@@ -234,7 +242,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     weight = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
     counts = written(_term_counts(sample).withColumn("weight", weight), "terms")
     fit_for = counts.where((F.col("bad") >= least) & (F.col("weight") >= 4))
-    rows = _without_longer_stems(fit_for).orderBy(F.col("bad").desc(), "term", "stem").limit(ENTRIES).collect()
+    rows = _without_longer_stems(fit_for).collect()
     stems = {r.term: r.weight for r in sorted((r for r in rows if r.stem), key=lambda r: (len(r.term), r.term))}
     entries = tuple((t, True, w) for t, w in stems.items()) + tuple((r.term, False, r.weight) for r in sorted(rows) if not r.stem)
     model = {"entries": entries, "clean": frozenset(), "weights": []}
