@@ -1,9 +1,10 @@
 """Near-duplicates by SimHash, found through bit counts of segments.
 
-A text's fingerprint is taken over its word shingles. Sixteen segments of four bits are each mapped to their number
+A text's fingerprint is taken over its word shingles. Segments of two bits are each mapped to their number
 of ones; the Manhattan distance of two such vectors never exceeds the Hamming distance of the fingerprints. Within
 three bits, one half of the vector is therefore equal or differs by one in one segment, so the join is an equality
-on grid cells: a half vector meets itself and its neighbours one step up. The full Manhattan distance and then the
+on grid cells: a half vector meets itself and its neighbours one step up. With short segments few fingerprints share a
+cell: of two at random one pair in 6.6 million shares that of a half. The full Manhattan distance and then the
 exact Hamming distance are conditions of the join, so candidates that fail are never rows.
 """
 
@@ -23,8 +24,11 @@ SHINGLE = 3
 SEED = 42
 MAX_BITS = 3
 
-# Ones of four bits, pushed to the low end: equal counts give equal codes, and codes differ in as many bits as counts.
-_PUSHED = [(1 << bin(i).count("1")) - 1 for i in range(16)]
+SEGMENT = 2  # bits
+_ALL = (1 << SEGMENT) - 1
+
+# The ones of a segment, pushed to the low end: equal counts give equal codes, and codes differ in as many bits as counts.
+_PUSHED = [(1 << bin(i).count("1")) - 1 for i in range(1 << SEGMENT)]
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -56,9 +60,9 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fp") -> DataF
 def _pushed(fp: Column) -> Column:
     table = F.array(*[F.lit(x).cast("bigint") for x in _PUSHED])
     code = F.lit(0).cast("bigint")
-    for i in range(16):
-        nibble = F.shiftrightunsigned(fp, 4 * i).bitwiseAND(F.lit(15)).cast("int")
-        code = code.bitwiseOR(F.shiftleft(F.element_at(table, nibble + 1), 4 * i))
+    for at in range(0, 64, SEGMENT):
+        ones = F.shiftrightunsigned(fp, at).bitwiseAND(F.lit(_ALL)).cast("int")
+        code = code.bitwiseOR(F.shiftleft(F.element_at(table, ones + 1), at))
     return code
 
 
@@ -69,7 +73,7 @@ def _cell(half: Column, side: int) -> Column:
 def close_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """All pairs ``a, b`` of the distinct fingerprints in ``fp`` that differ in 1 to ``max_bits`` (0 to 3) bits, once or twice each.
 
-    Rows grow with the fingerprints (2 and 18 a fingerprint) and with the pairs found, not with the candidates.
+    Rows grow with the fingerprints (2 and 34 a fingerprint) and with the pairs found, not with the candidates.
     """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("max_bits must be 0 to 3: a half vector is then equal or one step away")
@@ -78,9 +82,9 @@ def close_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     own = F.array(_cell(low, 0), _cell(high, 1))
     up = []
     for side, half in enumerate((low, high)):
-        for i in range(8):
-            nibble = F.shiftright(half, 4 * i).bitwiseAND(F.lit(15))
-            up.append(F.when(nibble != 15, _cell(half + F.shiftleft(nibble + 1, 4 * i), side)))
+        for at in range(0, 32, SEGMENT):
+            ones = F.shiftright(half, at).bitwiseAND(F.lit(_ALL))
+            up.append(F.when(ones != _ALL, _cell(half + F.shiftleft(ones + 1, at), side)))
     left = coded.select(F.col("fp").alias("a"), F.col("code").alias("code_a"), F.explode(own).alias("cell"))
     stay = coded.select(F.col("fp").alias("b"), F.col("code").alias("code_b"), F.lit(False).alias("up"), F.explode(own).alias("cell"))
     step = coded.select(F.col("fp").alias("b"), F.col("code").alias("code_b"), F.lit(True).alias("up"), F.explode(F.array(*up)).alias("cell"))
