@@ -1,6 +1,7 @@
 """Operator 5: exact round trip, no padding, and the curve."""
 
 import itertools
+import time
 import zlib
 from collections import defaultdict
 
@@ -32,6 +33,29 @@ def test_ids_equal_the_tokenizer():
         assert encoder.ids(text).tolist() == [*slow().encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_special_tokens_stand_for_themselves():
+    encoder = curve_packing.Encoder(*(str(public_tokenizers.path(f"byte_bpe_50k.{x}")) for x in ("json", "tiktoken")))
+    special, rng, tokenizer = list(encoder.special), np.random.default_rng(3), slow()
+    assert special
+    pool = [*special, special[0][:-1], special[0][1:], " ", "  ", "\n", "a", "don't", "x<", "|>", "é", ""]
+    for _ in range(500):
+        text = "".join(rng.choice(pool, rng.integers(0, 12)))
+        assert encoder.ids(text).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
+    start = time.perf_counter()
+    for i in range(1000):
+        encoder.ids(f"some text {i} {special[0]} and more of it " * 5)
+    assert time.perf_counter() - start < 1
+
+
+def test_ranges_are_dealt_out_evenly_and_in_order(spark):
+    rows = [(i, f"word{i % 97} text{i % 89} number {i}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    pieces = curve_packing.pack(docs, sequence=64).selectExpr("sequence_id >> 40 as part", "length")
+    sizes = {r.part: r.n for r in pieces.groupBy("part").sum("length").toDF("part", "n").collect()}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(sizes) == set(range(partitions)) and max(sizes.values()) < 2 * min(sizes.values())
+
+
 @pytest.mark.parametrize("sequence", [2048, 64])
 def test_round_trip(spark, sequence):
     rows = documents()

@@ -35,23 +35,23 @@ RANGES, SAMPLED = 4, 6  # ranges per partition, and documents sampled per range
 class Encoder:
     """Token ids as the ``tokenizers`` file gives them.
 
-    The rank file holds the same vocabulary for a faster library; texts that contain a special token go to
-    ``tokenizers`` itself, which alone knows them.
+    The rank file holds the same vocabulary for a faster library. A text is cut at the special tokens that ``tokenizers``
+    names, which stand for their own ids; ones that take blanks beside them along are refused.
     """
 
     def __init__(self, vocabulary: str, ranks: str):
-        self.vocabulary = vocabulary
-        self.special = [t.content for t in self.slow().get_added_tokens_decoder().values()]
+        added = Tokenizer.from_file(vocabulary).get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("special tokens that depend on what stands beside them are not supported")
+        self.special = {t.content: i for i, t in added.items()}
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-
-    def slow(self) -> Tokenizer:
-        return Tokenizer.from_file(self.vocabulary)
+        table = {token: i for token, i in table.items() if i not in added}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=self.special)
 
     def ids(self, text: str) -> np.ndarray:
-        if any(t in text for t in self.special):  # rare, so the file is read for it
-            found = self.slow().encode(text, add_special_tokens=False).ids
+        if any(t in text for t in self.special):
+            found = self.fast.encode(text, allowed_special="all")
         else:
             found = self.fast.encode_ordinary(text)
         return np.array([*found, END_ID], dtype="<u4")
@@ -197,28 +197,32 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     places = sorted(r.place for r in tokenized(few, doc_id, text, vocabulary, ranks).select("place").collect())
     bounds = tuple(sorted({places[len(places) * i // ranges] for i in range(1, ranges)})) if places else ()
     tokens = tokenized(docs, doc_id, text, vocabulary, ranks, bounds)
-    placed = tokens.repartition(partitions, "range").sortWithinPartitions("range", "place", "id", "ids")
+    # Neighbouring ranges share a partition, and each partition has as many.
+    by_range = F.floor(F.col("range") / RANGES).cast("int")
+    placed = tokens.repartitionById(partitions, by_range).sortWithinPartitions("range", "place", "id", "ids")
     schema = StructType([placed.schema["id"], *StructType().add("start", "long").add("length", "long").add("ids_crc32", "long").add("doc_tokens", "long").add("sequence_id", "long").add("offset", "long").fields])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        packer, names, sizes = Packer(TaskContext.get().partitionId() << 40, sequence), [], []
+        packer, rows, count = Packer(TaskContext.get().partitionId() << 40, sequence), {}, 0  # rows: id and tokens, as long as they are held
 
         def out() -> pa.RecordBatch:
             row, start, length, crc, seq, offset = zip(*packer.pieces, strict=True)
-            arrays = [pa.array([names[r] for r in row], schema_id), *[pa.array(x, pa.int64()) for x in (start, length, crc, [sizes[r] for r in row], seq, offset)]]
+            arrays = [pa.array([rows[r][0] for r in row], schema_id), *[pa.array(x, pa.int64()) for x in (start, length, crc, [rows[r][1] for r in row], seq, offset)]]
             packer.pieces.clear()
+            for done in set(rows) - {r for r, _, _ in packer.held}:
+                del rows[done]
             return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
         schema_id = None
         for batch in batches:
             schema_id = batch.schema.field("id").type
             for name, data in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                names.append(name)
                 ids = _wide(data)
-                sizes.append(len(ids))
-                packer.add(len(names) - 1, ids)
+                rows[count] = (name, len(ids))
+                packer.add(count, ids)
+                count += 1
             if packer.pieces:
                 yield out()
         packer.close()
