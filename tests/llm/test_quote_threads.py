@@ -83,3 +83,18 @@ def test_awkward_rows(spark):
     assert {r.text for r in got if r.conv_id == 1 and r.turn is None} == {"left"}
     assert sorted(r.reply_no for r in got if r.thread_conv == 1) == [1, 2, 3]
     assert qt.link_quotations(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_hot_thread_is_numbered_span_by_span(spark):
+    """A third of all messages in one thread, some of equal turns, and one without a conversation."""
+    rows = [(7, i // 2 if i % 3 else i, "u", f"hot message {i}") for i in range(3000)] + [(None, i, "u", f"nowhere {i}") for i in range(1500)]
+    rows += [(100 + i, t, "u", f"{i} and {t}") for i in range(900) for t in range(5)]
+    got = qt.link_quotations(spark.createDataFrame(rows, "conv_id BIGINT, turn INT, role STRING, text STRING"))
+    seen = {}
+    for r in got.select("thread_conv", "turn", "reply_no").collect():
+        seen.setdefault(r.thread_conv, []).append((r.reply_no, r.turn))
+    assert len(seen) == 902 and len(seen[7]) == 3000 and len(seen[None]) == 1500
+    for numbered in seen.values():
+        numbered.sort()
+        assert [n for n, _ in numbered] == list(range(1, len(numbered) + 1))
+        assert [t for _, t in numbered] == sorted(t for _, t in numbered)

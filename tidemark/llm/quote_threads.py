@@ -144,6 +144,20 @@ def _roots(links: DataFrame) -> DataFrame:
             return state
 
 
+def _numbered(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``reply_no``: its rows counted by ``root`` in order of ``conv, turn, row``, span by span of turns.
+
+    A thread's spans are counted up in one task, a row for each; the rows of a span are numbered on their own.
+    """
+    spans = placed.withColumn("span", F.shiftright("turn", SPAN_BITS))
+    sizes = spans.groupBy("root", "conv", "span").agg(F.count("*").alias("rows"))
+    earlier = Window.partitionBy("root").orderBy("conv", "span").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("root", "conv", "span", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("begin"))
+    inner = spans.withColumn("place", F.row_number().over(Window.partitionBy("root", "conv", "span").orderBy("turn", "row")))
+    same = (inner["root"] == begins["root"]) & inner["conv"].eqNullSafe(begins["conv"]) & inner["span"].eqNullSafe(begins["span"])
+    return inner.join(begins, same).select(*[inner[c] for c in placed.columns], (F.col("begin") + F.col("place")).alias("reply_no"))
+
+
 def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per message, its text without quotes, with its parent and its place in a thread.
 
@@ -152,8 +166,8 @@ def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "tur
     ``depth`` (replies from the head) and ``reply_no`` (1, 2, ...: the order in the thread, where each message comes
     after the one it replies to). A null text stays null and is linked by its turn; empty texts too. Messages without
     a conversation id form one conversation; null turns come first; repeated rows follow each other. Other columns
-    are not looked at. An empty table gives an empty result. Where one thread holds a large part of all messages,
-    numbering it sorts their keys, not their texts, in one task.
+    are not looked at. An empty table gives an empty result. A thread that holds a large part of all messages is numbered
+    span by span of its turns; messages of one conversation and equal turns are one span.
     """
     rows = messages.select(F.col(conv).alias("conv"), F.col(turn).cast("bigint").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     parsed = written(_parsed(rows).withColumn("row", F.monotonically_increasing_id()), "parsed")
@@ -164,9 +178,7 @@ def link_quotations(messages: DataFrame, conv: str = "conv_id", turn: str = "tur
     names = slim.select(F.col("row").alias("parent"), F.col("conv").alias("parent_conv"), F.col("turn").alias("parent_turn"))
     heads = slim.select(F.col("row").alias("root"), F.col("conv").alias("thread_conv"), F.col("turn").alias("thread_turn"))
     placed = slim.join(placed, "row").join(names, "parent", "left").join(heads, "root")
-    order = Window.partitionBy("root").orderBy("conv", "turn", "row")
-    placed = placed.withColumn("reply_no", F.row_number().over(order).cast("bigint"))
-    wide = parsed.select("row", "role", "clean", "n_quotes", "levels").join(placed, "row")
+    wide = parsed.select("row", "role", "clean", "n_quotes", "levels").join(_numbered(placed), "row")
     return wide.select(
         F.col("conv").alias(conv), F.col("turn").alias(turn), F.col("role").alias(role), F.col("clean").alias(text),
         "n_quotes", F.col("levels").alias("quote_levels"), "linked", "parent_conv", "parent_turn", "thread_conv", "thread_turn", "depth", "reply_no",
