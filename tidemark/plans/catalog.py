@@ -25,7 +25,7 @@ from tidemark.sources.generator import generated_records
 from tidemark.sources.kafka import decode
 from tidemark.sources.tables import as_telemetry, read_table, with_zoned_time
 from tidemark.sources.text import numbered, read_lines, split_lines
-from tidemark.streaming.replay import file_stream, replay_runs, replay_slices, replay_to_end, time_slices
+from tidemark.streaming.replay import file_stream, replay_batches, replay_runs, replay_slices, replay_to_end, time_slices
 from tidemark.streaming.sinks import (
     append_sink, bucketed_text_sink, changelog_sink, fold_buckets, latest_rows, latest_snapshot, read_buckets, snapshot_sink,
 )
@@ -651,7 +651,7 @@ def stream_throttle_10m(spark, folder):
         out, checkpoint = f"{work}/out", f"{work}/checkpoint"
         return throttle_batches(rows, "event_type", epoch_millis("ts"), TEN_MINUTES_MS, "event_id", out, checkpoint, None)
 
-    replay_runs(spark, event_slices(spark, folder), kept)
+    replay_batches(spark, event_slices(spark, folder), kept)
     return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id")
 
 
@@ -664,7 +664,7 @@ def stream_sample_ahead(spark, folder):
         out, checkpoint = f"{work}/out", f"{work}/checkpoint"
         return jobs.sample_stream(rows, "event_type", device_ms(), epoch_millis("ts"), "event_id", out, checkpoint, None)
 
-    replay_runs(spark, event_slices(spark, folder), kept)
+    replay_batches(spark, event_slices(spark, folder), kept)
     return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id")
 
 
@@ -681,7 +681,7 @@ def stream_sampled_lines(spark, folder):
         lines = number_texts(with_zoned_time(rows)).select("event_type", "event_id", "ts", "value")
         return jobs.sampled_lines(lines, "event_type", "event_id", f"{work}/out", f"{work}/checkpoint", None, epoch_millis("ts"))
 
-    replay_runs(spark, event_slices(spark, folder), kept)
+    replay_batches(spark, event_slices(spark, folder), kept)
     return emitted_rows(spark, f"{work}/out").select(F.col("event_type").alias("key"), "event_id", "value")
 
 
@@ -695,7 +695,7 @@ def stream_throttle_user_10m(spark, folder):
         first = throttle_stream(rows, "user_id", epoch_millis("ts"), TEN_MINUTES_MS, "event_id").select("key", "event_id")
         return append_sink(first, f"{work}/out", f"{work}/checkpoint", None)
 
-    replay_runs(spark, event_slices(spark, folder), kept)
+    replay_batches(spark, event_slices(spark, folder), kept)
     return spark.read.parquet(f"{work}/out")
 
 
@@ -714,7 +714,7 @@ def stream_throttle_handover(spark, folder):
         live = throttle_stream(rows, "user_id", ms, TEN_MINUTES_MS, "event_id", initial=spark.read.parquet(f"{work}/last"))
         return append_sink(live.select("key", "event_id"), f"{work}/out", f"{work}/checkpoint", None)
 
-    replay_runs(spark, rest, kept)
+    replay_batches(spark, rest, kept)
     return done.select(F.col("user_id").cast("string").alias("key"), "event_id").unionByName(spark.read.parquet(f"{work}/out"))
 
 

@@ -75,6 +75,20 @@ def replay_runs(spark: SparkSession, slices: list[DataFrame], sink: Callable[[Da
         sink(file_stream(spark, source, schema)).start().awaitTermination()
 
 
+def replay_batches(spark: SparkSession, slices: list[DataFrame], sink: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """As :func:`replay_runs`, but in one run: the query goes on while the slices come, each a micro-batch or more of its own."""
+    source, schema = scratch_dir(spark, "slices"), slices[0].schema
+    slices[0].write.parquet(source)
+    query = sink(file_stream(spark, source, schema)).trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+        for rows in slices[1:]:
+            rows.write.mode("append").parquet(source)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def replay_slices(
     spark: SparkSession, slices: list[DataFrame], transform: Callable[[DataFrame], DataFrame], end_text: str = ""
 ) -> DataFrame:
