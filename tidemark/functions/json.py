@@ -18,6 +18,7 @@ END_MARK = "~end~"
 
 _PARSED = "__parsed"
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_ESCAPED_NAME = r'\\.[^"\\]*+(?:\\.[^"\\]*+)*+":'
 _TOKEN = rf'{_STRING}|[\[\]{{}},]|[^"\[\]{{}},]+'
 
 
@@ -92,9 +93,9 @@ def put_in_text(text: Column, name: str, value: Column) -> Column:
     """P4 on text: the compact JSON object in ``text`` with the top-level field ``name`` set to ``value`` (JSON text).
 
     Fields of that name at the top level go, however their name is escaped, and the new one comes last; all else stays as
-    written, nested fields of that name too. The text is scanned by tokens only if it holds the name or an escape.
+    written, nested fields of that name too. The text is scanned by tokens only if it holds the name or a name with an escape.
     """
-    may_hold = F.contains(text, F.lit(f'"{name}"')) | F.contains(text, F.lit("\\"))
+    may_hold = F.contains(text, F.lit(f'"{name}"')) | text.rlike(_ESCAPED_NAME)
     kept = F.when(may_hold, _without(text, name)).otherwise(F.substring(text, F.lit(2), F.length(text) - 2))
     comma = F.when(kept == "", "").otherwise(",")
     return F.concat(F.lit("{"), kept, comma, F.lit(f'"{name}":'), value, F.lit("}"))
