@@ -112,6 +112,20 @@ def test_edited_texts(spark, monkeypatch, span_bits):
     assert prints[""] == "0" * 32
 
 
+@pytest.mark.parametrize("step", [1, 1000, 2**40])
+def test_sparse_ids_make_few_spans(spark, monkeypatch, step):
+    monkeypatch.setattr(block_tables, "SPAN_BITS", 4)
+    rng = random.Random(step)
+    ids = rng.sample(range(-300 * step, 300 * step), 400) if step > 1 else list(range(-200, 200))
+    docs = spark.createDataFrame([(i, f"text of {i}") for i in ids] + [(None, "none")], "doc_id BIGINT, text STRING")
+    rows = block_tables.with_next(docs).where("not extra").collect()
+    assert len({r.span for r in rows}) < 80
+    order = sorted(ids, reverse=True)
+    wanted = dict(zip(order, [f"text of {i}" for i in order[1:]] + ["none"]))
+    assert {r.doc_id: r.next_text for r in rows if r.doc_id is not None} == wanted
+    assert [r.next_text for r in rows if r.doc_id is None] == [f"text of {order[0]}"]
+
+
 def test_fingerprint_counts_votes(spark):
     text = "a b a b c"
     df = spark.createDataFrame([(text,)], "t STRING")

@@ -17,7 +17,7 @@ from tidemark.llm.common import BLANKS, written
 
 BITS = 128
 RADIUS = 3
-SPAN_BITS = 12  # ids that agree in all but so many low bits are neighbours in one group
+SPAN_BITS = 12  # of dense ids, those that agree in all but so many low bits are neighbours in one group
 _PAIR = (1 << 32) | 1
 _WHITE = " \t\n\x0b\f\r"
 
@@ -117,20 +117,28 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return a.join(b, on).select("hi_a", "lo_a", "hi_b", "lo_b", apart.alias("bits"))
 
 
+def _span_bits(rows: DataFrame) -> int:
+    """As many low bits of ``k`` as let a span have about ``2 ** SPAN_BITS`` rows, if ids are spread evenly."""
+    low, high, count = rows.where("id IS NOT NULL").agg(F.min("k"), F.max("k"), F.count("*")).first()
+    return min(62, SPAN_BITS + ((high - low) // count).bit_length()) if count else SPAN_BITS
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``span, pos, extra, <doc_id>, <text>, next_text``: the next row by descending id; after the last comes the first.
 
-    Ids are grouped into spans of ``2 ** SPAN_BITS``, each ordered on its own; the first row of a span is also
+    Ids are grouped into spans of ``2 ** SPAN_BITS``, wider ones where ids are sparse, so that the spans, of which one task
+    orders a row each, are far fewer than the rows. Each span is ordered on its own; its first row is also
     sent to the span before it, as an ``extra`` row at its end, so texts are shuffled once. Equal ids are ordered
     by text; null ids come last.
     """
     low = F.lit(-(1 << 63)).cast("bigint")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body")).withColumn("k", F.coalesce(F.col("id").cast("bigint"), low))
-    spans = rows.groupBy(F.shiftright("k", SPAN_BITS).alias("span")).agg(F.max("k").alias("head"))
+    bits = _span_bits(rows)
+    spans = rows.groupBy(F.shiftright("k", bits).alias("span")).agg(F.max("k").alias("head"))
     order = Window.orderBy(F.col("span").desc())
     to = F.coalesce(F.lag("span").over(order), F.min("span").over(Window.partitionBy(F.lit(1))))
     heads = written(spans.select(F.col("head"), to.alias("to")), "heads")
-    own = F.struct(F.shiftright("k", SPAN_BITS).alias("span"), F.lit(False).alias("extra"))
+    own = F.struct(F.shiftright("k", bits).alias("span"), F.lit(False).alias("extra"))
     more = F.struct(F.col("to").alias("span"), F.lit(True).alias("extra"))
     sent = rows.join(heads, rows["k"] == heads["head"], "left").select("id", "k", "body", F.explode(F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, more))).alias("at"))
     within = Window.partitionBy("span").orderBy("extra", F.col("k").desc(), "body")
