@@ -57,7 +57,7 @@ def test_offset_statistics_shuffle_once(spark):
     assert text.count("Exchange") == 1 and "partial_sum" in text
 
 
-@pytest.mark.parametrize("name", ["json_strict", "json_fallback_line", "json_normalise_or_empty", "offset_parse", "future_skew_rows"])
+@pytest.mark.parametrize("name", ["json_strict", "json_numbers_strict", "json_numbers_stamped", "json_fallback_line", "json_normalise_or_empty", "offset_parse", "future_skew_rows"])
 def test_row_transforms_do_not_shuffle(spark, name):
     text = plan(contract.queries()[name](spark, FOLDER))
     assert "Exchange" not in text and "Python" not in text
