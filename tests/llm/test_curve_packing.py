@@ -56,6 +56,16 @@ def test_ranges_are_dealt_out_evenly_and_in_order(spark):
     assert set(sizes) == set(range(partitions)) and max(sizes.values()) < 2 * min(sizes.values())
 
 
+def test_ranges_are_even_by_size():
+    rng = np.random.default_rng(4)
+    # A tenth of the documents are a hundred times as long, and lie together.
+    sampled = [(int(rng.integers(0, 1000)), 10) for _ in range(900)] + [(int(rng.integers(400, 420)), 1000) for _ in range(100)]
+    bounds = curve_packing.even_bounds(sampled, 16)
+    sizes = np.bincount(np.searchsorted(bounds, [p for p, _ in sampled], side="right"), [n for _, n in sampled])
+    assert sizes.max() < 3 * sizes.sum() / 16
+    assert curve_packing.even_bounds([], 8) == () and curve_packing.even_bounds([(5, 9)], 8) == (5,)
+
+
 @pytest.mark.parametrize("sequence", [2048, 64])
 def test_round_trip(spark, sequence):
     rows = documents()

@@ -29,7 +29,7 @@ END_ID = 1
 DIMENSIONS, DEPTH = 4, 11
 FEATURES = 1024
 TIE_BITS = 19
-RANGES, SAMPLED = 4, 6  # ranges per partition, and documents sampled per range to make them about equal
+RANGES, SAMPLED = 4, 24  # ranges per partition, and documents sampled per range to make them about equal
 
 
 class Encoder:
@@ -179,6 +179,15 @@ class Packer:
             left -= size
 
 
+def even_bounds(sampled: list[tuple[int, int]], ranges: int) -> tuple[int, ...]:
+    """Places that cut ``(place, size)`` into ranges of about equal size together: long documents are alike, so they lie close."""
+    if not sampled:
+        return ()
+    places, sizes = np.array(sorted(sampled), np.int64).T
+    at = np.searchsorted(np.cumsum(sizes), sizes.sum() * np.arange(1, ranges) / ranges)
+    return tuple(sorted(set(places[np.minimum(at, len(places) - 1)].tolist())))
+
+
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, ranks: str | None = None, sequence: int = SEQUENCE) -> DataFrame:
     """One row per piece: ``<doc_id>, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
@@ -194,8 +203,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges, rows = RANGES * partitions, docs.count()
     few = docs.select(doc_id, text).sample(min(1.0, SAMPLED * ranges / max(1, rows)), 5)
-    places = sorted(r.place for r in tokenized(few, doc_id, text, vocabulary, ranks).select("place").collect())
-    bounds = tuple(sorted({places[len(places) * i // ranges] for i in range(1, ranges)})) if places else ()
+    bounds = even_bounds([tuple(r) for r in tokenized(few, doc_id, text, vocabulary, ranks).select("place", F.octet_length("ids")).collect()], ranges)
     tokens = tokenized(docs, doc_id, text, vocabulary, ranks, bounds)
     # Neighbouring ranges share a partition, and each partition has as many.
     by_range = F.floor(F.col("range") / RANGES).cast("int")
