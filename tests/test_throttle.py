@@ -1,8 +1,12 @@
 import random
+import sys
 import time
 
+import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.operators import throttle as batch
 from tidemark.operators.throttle import last_emissions, throttle
@@ -11,6 +15,9 @@ from tidemark.streaming.sinks import append_sink
 from tidemark.streaming.state import throttle_state
 from tidemark.streaming.throttle import emitted_rows, throttle_batches, throttle_stream
 
+# Tasks do not find this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCHEMA = "k string, ms bigint, wait bigint, id bigint"
 
 
@@ -302,3 +309,84 @@ def test_expired_keys_leave_the_state(spark, tmp_path):
             assert time.monotonic() < deadline and query.awaitTermination(0.5) is False
     finally:
         query.stop()
+
+
+def test_a_stream_hands_python_buckets_and_not_single_keys(spark, tmp_path):
+    """A group costs milliseconds whatever it holds, so there are no more of them with more keys."""
+    rows = [(f"k{i % 1500}", i, 10, i) for i in range(3000)]
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    initial = spark.createDataFrame([(f"k{i}", -1) for i in range(1500)], "key string, last bigint")
+
+    def run(stream):
+        return append_sink(throttle_stream(stream, "k", "ms", 10, "id", initial=initial), out, checkpoint, interval=None)
+
+    in_batches(spark, tmp_path, [rows], run)
+    groups = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint).select("key").distinct().count()
+    assert groups <= 1024
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [i for i in range(3000) if i >= 10]
+    assert {r.key: r["last"] for r in throttle_state(spark, checkpoint).collect()} == {f"k{i}": 1500 + i for i in range(1500)}
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_keys_share_a_bucket(spark, tmp_path, monkeypatch, buckets):
+    """Their rows come in several frames, are sorted more than once and go back in several."""
+    rows = rows_in_order()
+    rows[7:7] = [("null", 0, None, 10**6)]
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    monkeypatch.setattr(live, "CHUNK_ROWS", 40)
+
+    def run(stream):
+        kept = throttle_stream(stream, "k", "ms", F.col("wait"), "id", buckets=buckets)
+        return append_sink(kept, out, checkpoint, interval=None)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        in_batches(spark, tmp_path, [rows[:400], rows[400:410], rows[410:]], run)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    kept = spark.read.parquet(out)
+    assert sorted(r.id for r in kept.collect()) == one_by_one(r for r in rows if r[2] is not None)
+    assert kept.columns == ["key", "k", "ms", "wait", "id"]
+
+
+def test_of_many_last_emissions_of_a_key_the_newest_counts(spark, tmp_path):
+    initial = spark.createDataFrame([("a", 5), ("a", 50), ("a", 20), ("b", 1)], "key string, last bigint").repartition(4)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+
+    def run(stream):
+        return append_sink(throttle_stream(stream, "k", "ms", 10, "id", initial=initial), out, checkpoint, interval=None)
+
+    in_batches(spark, tmp_path, [[("a", 60, 10, 1), ("a", 61, 10, 2), ("b", 11, 10, 3), ("b", 12, 10, 4)]], run)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [2, 4]
+
+
+class ValuePerKey(StatefulProcessor):
+    """The state as it was before keys were dealt into buckets."""
+
+    def init(self, handle):
+        self.last = handle.getValueState("last", "ms bigint", None)
+
+    def handleInputRows(self, key, rows, timerValues):
+        frame = pd.concat(list(rows))
+        self.last.update((int(frame["ms"].max()),))
+        yield frame[["k", "ms"]]
+
+    def close(self):
+        pass
+
+
+def test_a_checkpoint_from_before_the_buckets_goes_over_to_a_new_one(spark, tmp_path):
+    old, new, out = (str(tmp_path / name) for name in ("old", "new", "out"))
+
+    def before(stream):
+        kept = stream.withColumn("key", F.col("k")).groupBy("key")
+        kept = kept.transformWithStateInPandas(ValuePerKey(), "k string, ms bigint", "Append", "None")
+        return append_sink(kept, str(tmp_path / "first"), old, interval=None)
+
+    def run(stream):
+        return append_sink(throttle_stream(stream, "k", "ms", 10, "id", initial=throttle_state(spark, old)), out, new, interval=None)
+
+    in_batches(spark, tmp_path, [[("a", 5, 10, 1), ("b", 9, 10, 2)]], before)
+    (tmp_path / "next").mkdir()
+    in_batches(spark, tmp_path / "next", [[("a", 15, 10, 3), ("a", 16, 10, 4), ("b", 19, 10, 5)]], run)
+    assert [r.id for r in spark.read.parquet(out).collect()] == [4]

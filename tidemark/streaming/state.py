@@ -17,6 +17,8 @@ def throttle_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     As the ``initial`` of another one they carry it over to a new checkpoint, such as one with more partitions.
     """
     state = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint)
+    # Checkpoints from before the buckets have a single value per key.
+    key, value = ("user_map_key", "user_map_value") if "user_map_key" in state.columns else ("key", "value")
     # State with a time limit has the time at which it ends next to its value.
-    value = "value.value" if "ttlExpirationMs" in state.schema["value"].dataType.names else "value"
-    return state.selectExpr("key.key as key", f"{value}.ms as last")
+    held = f"{value}.value" if "ttlExpirationMs" in state.schema[value].dataType.names else value
+    return state.selectExpr(f"{key}.key as key", f"{held}.ms as last")

@@ -1,6 +1,6 @@
 """Sampling by time per key on a stream.
 
-Two forms with the same result. ``throttle_stream`` keeps its state per key and answers row by row, for keys
+Two forms with the same result. ``throttle_stream`` keeps its state per key, in buckets of keys, for keys
 that spread the load. ``throttle_batches`` runs each micro-batch through the distributed table form, for
 keys that may hold a large share of a big micro-batch, such as in a backfill.
 """
@@ -8,6 +8,7 @@ keys that may hold a large share of a big micro-batch, such as in a backfill.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.keys import key_text
 from tidemark.functions.timing import as_column
-from tidemark.operators.throttle import levels_for, throttle
+from tidemark.operators.throttle import first_after, levels_for, throttle
 from tidemark.session import drop_folder
 from tidemark.streaming.sinks import CHECKPOINT_INTERVAL, batch_writer
 
@@ -28,51 +29,91 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NEVER = -(2**62)
 
+# Buckets of the keys of a stream, and the rows of a bucket that are sorted or given back to Spark at a time.
+BUCKETS = 1024
+CHUNK_ROWS = 10_000
+
 # Micro-batches after which the changes of the state are folded.
 FOLD_EVERY = 50
 STATE = "key string, last bigint"
 
 
 class LastEmitted(StatefulProcessor):
-    """Keeps the time of the last emitted row of each key."""
+    """Keeps the time of the last emitted row of each key, in a map per bucket of keys.
+
+    Spark hands groups to Python one by one, each as frames of its own at a cost of milliseconds; a bucket shares it among its keys.
+    """
 
     def __init__(self, ttl_ms: int | None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "ms bigint", self.ttl_ms)
+        self.last = handle.getMapState("last", "key string", "ms bigint", self.ttl_ms)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.last.update((int(initialState["last"].max()),))
+        for name, last in zip(initialState["key"], initialState["last"]):
+            self.last.updateValue((name,), (int(last),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.last.get()
-        last = NEVER if stored is None else stored[0]
-        kept: pd.DataFrame | None = None
+        before: dict[str, int] = {}
+        held: list[pd.DataFrame] = []
+        kept = fresh = 0
         for frame in rows:
-            frame = frame[frame["throttle_ms"] - frame["throttle_wait"] > last]
-            kept = _firsts(frame if kept is None else pd.concat([kept, frame], ignore_index=True))
-        if kept is None or kept.empty:
+            frame = frame[frame["throttle_ms"] - frame["throttle_wait"] > self._before(frame["key"], before)]
+            held.append(frame)
+            fresh += len(frame)
+            # Only once the rows have doubled, so that each is sorted a few times at most.
+            if fresh > max(kept, CHUNK_ROWS):
+                held = [_firsts(held)]
+                kept, fresh = len(held[0]), 0
+        if not held:
             return
-        picks = []
-        ms = kept["throttle_ms"].to_numpy()
-        edges = ms - kept["throttle_wait"].to_numpy()
-        order = np.argsort(edges, kind="stable")
-        edges, earliest = edges[order], np.minimum.accumulate(order[::-1])[::-1]
-        while (at := np.searchsorted(edges, last, side="right")) < len(edges):
-            picks.append(int(earliest[at]))
-            last = int(ms[picks[-1]])
-        if picks:
-            self.last.update((last,))
-            yield kept.iloc[picks].drop(columns=["throttle_ms", "throttle_wait", "throttle_id"])
+        firsts = _firsts(held)
+        picks = self._emitted(firsts, before)
+        for start in range(0, len(picks), CHUNK_ROWS):
+            out = firsts.iloc[picks[start : start + CHUNK_ROWS]]
+            yield out.drop(columns=["throttle_bucket", "throttle_ms", "throttle_wait", "throttle_id"])
+
+    def _before(self, keys: pd.Series, before: dict[str, int]) -> np.ndarray:
+        """The last emission before each row. ``before`` has those that were read, so that each key is read once."""
+        codes, names = pd.factorize(keys)
+        for name in names:
+            if name not in before:
+                stored = self.last.getValue((name,))
+                before[name] = NEVER if stored is None else stored[0]
+        return np.array([before[name] for name in names], dtype=np.int64)[codes]
+
+    def _emitted(self, firsts: pd.DataFrame, before: dict[str, int]) -> list[int]:
+        """The places of the emitted rows of all keys, whose last ones go to the state."""
+        keys, ms = firsts["key"].to_numpy(), firsts["throttle_ms"].to_numpy()
+        edges = ms - firsts["throttle_wait"].to_numpy()
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else []
+        picks: list[int] = []
+        for start, end in zip(starts, [*starts[1:], len(keys)]):
+            chain = _chain(ms[start:end], edges[start:end], before[keys[start]])
+            if chain:
+                picks.extend(start + place for place in chain)
+                self.last.updateValue((keys[start],), (int(ms[picks[-1]]),))
+        return picks
 
     def close(self) -> None:
         pass
 
 
-def _firsts(frame: pd.DataFrame) -> pd.DataFrame:
-    """In time order, the only rows that can be emitted: the first of each millisecond and wait."""
-    return frame.sort_values(["throttle_ms", "throttle_id"]).drop_duplicates(["throttle_ms", "throttle_wait"], ignore_index=True)
+def _firsts(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """By key and in time order, the only rows that can be emitted: the first of each millisecond and wait."""
+    frame = pd.concat(frames, ignore_index=True).sort_values(["key", "throttle_ms", "throttle_id"])
+    return frame.drop_duplicates(["key", "throttle_ms", "throttle_wait"], ignore_index=True)
+
+
+def _chain(ms: np.ndarray, edges: np.ndarray, last: int) -> list[int]:
+    """The places of the rows of one key that are emitted after ``last``."""
+    edges, earliest = (found.tolist() for found in first_after(edges))
+    chain = []
+    while (at := bisect_right(edges, last)) < len(edges):
+        chain.append(earliest[at])
+        last = int(ms[earliest[at]])
+    return chain
 
 
 def throttle_stream(
@@ -83,12 +124,13 @@ def throttle_stream(
     row_id: str | Column,
     ttl_ms: int | None = None,
     initial: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """The emitted rows, with their ``key``.
 
     Within a micro-batch rows go by (time, row id); a row that arrives in a later batch than a newer one
-    is compared with what was emitted so far. All rows of a key in a micro-batch are handled by one
-    task, which holds one row per millisecond.
+    is compared with what was emitted so far. Keys are dealt into ``buckets`` by hash, as many as a checkpoint was begun with.
+    All rows of a bucket in a micro-batch are handled by one task, which holds one row per key and millisecond.
     ``ttl_ms`` forgets keys that were silent for so long by the clock; choose it above the wait, and
     a trigger that runs on: Spark keeps making batches to watch the clock, so available-now never ends.
     ``initial`` has the last emissions that the first run starts from, as ``key`` (text), ``last``, such as those of a
@@ -103,8 +145,12 @@ def throttle_stream(
         as_column(row_id).cast("bigint").alias("throttle_id"),
     ).filter(F.col("throttle_ms").isNotNull())
     out = StructType([f for f in kept.schema.fields if not f.name.startswith("throttle_")])
-    known = None if initial is None else initial.select("key", "last").groupBy("key")
-    return kept.groupBy("key").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("throttle_bucket")
+    known = None
+    if initial is not None:
+        newest = initial.groupBy(F.col("key").cast("string").alias("key")).agg(F.max("last").alias("last"))
+        known = newest.select(bucket, "key", "last").groupBy("throttle_bucket")
+    return kept.select(bucket, "*").groupBy("throttle_bucket").transformWithStateInPandas(
         LastEmitted(ttl_ms), out, "Append", "None" if ttl_ms is None else "ProcessingTime", known
     )
 
